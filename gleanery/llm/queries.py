@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe_automaton, fingerprints, packing, token_files
+from gleanery.llm import bpe_automaton, fingerprints, packing, quality_rules, secret_scan, token_counts, token_files
 from gleanery.llm.tokenizing import tokenizer_path
 
 
@@ -18,10 +18,22 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, size=1024)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.maintained_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), "byte_bpe_50k")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
@@ -31,7 +43,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op6_best_fit_packing, op9_token_files, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_bpe_round_trip, op4_quality_rules, op5_secret_scans, op6_best_fit_packing, op8_token_counts, op9_token_files, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
