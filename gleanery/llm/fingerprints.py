@@ -24,6 +24,8 @@ from gleanery.llm import shared
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 CANONICAL = "digest string, canonical string"
+#: Ids that may be broadcast, at 8 bytes each.
+BROADCAST_IDS = 1_000_000
 
 
 def canonical(text: str) -> str:
@@ -99,18 +101,20 @@ def _canonical_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     schema = shared.schema_of(CANONICAL)
     for batch in shared.slices(batches, "text"):
         forms = [canonical(x) for x in shared.texts_of(batch)]
-        yield pa.RecordBatch.from_pydict({"digest": batch.column("digest"), "canonical": forms}, schema=schema)
+        yield pa.RecordBatch.from_pydict({"digest": [digest(x) for x in forms], "canonical": forms}, schema=schema)
 
 
-def colliding(docs: DataFrame, marks: DataFrame, copied: DataFrame) -> DataFrame:
+def colliding(docs: DataFrame, members: DataFrame, n_members: int) -> DataFrame:
     """The digests that stand for two canonical forms or more, after comparing the bytes inside each group.
 
-    marks: doc_id and fingerprint of each document; copied: the digests of several documents. Only the texts of these
-    are read again; each task keeps the least and greatest form of a digest, so a group of any size is two rows a task.
+    members: doc_id of the documents whose digest several have. Only their texts are read again; up to BROADCAST_IDS ids
+    are broadcast, so that no text moves before its task has kept the least and greatest form of each digest; beyond that
+    the ids are joined by a shuffle. A group of any size is two rows a task.
     """
-    members = marks.select("doc_id", F.col("fingerprint").alias("digest")).join(copied.select(F.col("fingerprint").alias("digest")), "digest", "left_semi")
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).where(F.col("doc_id").isNotNull())
-    forms = texts.join(members.dropDuplicates(["doc_id", "digest"]), "doc_id").select("digest", "text").mapInArrow(_canonical_forms, CANONICAL)
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    ids = members.select("doc_id").distinct()
+    chosen = texts.join(F.broadcast(ids) if n_members <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    forms = chosen.select("text").mapInArrow(_canonical_forms, CANONICAL)
     return forms.groupBy("digest").agg(F.min("canonical").alias("least"), F.max("canonical").alias("greatest")).where("least <> greatest").select("digest")
 
 
@@ -125,8 +129,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     marks = shared.written(ordered.mapInArrow(_fingerprinted, RESULT), "fingerprints")
     groups = marks.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("first_doc_id")).where("n_copies > 1")
     total = marks.count()
-    collisions = [r["digest"] for r in colliding(docs, marks, groups).limit(1).collect()]
+    joined = shared.join_groups(marks, groups, "fingerprint", "n_copies", total)
+    members = joined.where("n_copies > 1")
+    collisions = [r["digest"] for r in colliding(docs, members, members.count()).limit(1).collect()]
     if collisions:
         raise RuntimeError(f"two canonical texts share the digest {collisions[0]}")
-    joined = shared.join_groups(marks, groups, "fingerprint", "n_copies", total)
     return joined.select(*marks.columns, F.coalesce("first_doc_id", "doc_id").alias("first_doc_id"), F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"))
