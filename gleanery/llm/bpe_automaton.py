@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import shared
+from gleanery.llm.tokenizing import LETTERS, NUMBERS, byte_symbols
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 NEVER = 1 << 40
@@ -39,20 +40,13 @@ END = "\0"
 #: Pieces and words kept in a worker; beyond it the tables start anew.
 MOST_PIECES = 500_000
 
-#: Classes of the characters up to U+017F, white space, letters and numbers.
-WHITE, LETTERS, NUMBERS = r"\t-\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
+#: White space up to U+017F.
+WHITE = r"\t-\r \x85\xa0"
 #: Beyond these characters the library's own normaliser and pre-tokenizer split the text.
 UNCOMMON = re.compile("[^\x00-\x1b\x20-ſ]")
 WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{WHITE}{LETTERS}{NUMBERS}]+")
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else one from U+0100 on."""
-    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = iter(range(256, 512))
-    return [chr(b) if b in printing else chr(next(others)) for b in range(256)]
-
-
 class MergeAutomaton:
     """The automaton of an ordered list of merges over the given symbols; tokens are numbered in order of their making."""
 

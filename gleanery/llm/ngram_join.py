@@ -270,3 +270,15 @@ def joined(docs: DataFrame) -> DataFrame:
     null = F.lit(-(2**63))
     component = F.coalesce("component_id", "_id")
     return out.select(F.when(F.col("_id") != null, F.col("_id")).alias("doc_id"), "n_shingles", F.when(component != null, component).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is the least of its component, with all columns as they are.
+
+    Rows that go are known by doc_id. Their ids are broadcast if they are BROADCAST_IDS at most, else joined by a
+    shuffle; rows with a null doc_id stay.
+    """
+    found = joined(docs).where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = shared.written(found, "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe_automaton, fingerprints, html_extract, ngram_join, packing, quality_rules, secret_scan, token_counts, token_files
+from gleanery.llm import bpe_automaton, fingerprints, html_extract, ngram_join, packing, quality_rules, secret_scan, substring_dedup, token_counts, token_files
 from gleanery.llm.tokenizing import tokenizer_path
 
 
@@ -18,6 +18,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op3_ngram_jaccard_join, op4_quality_rules, op5_secret_scans, op6_best_fit_packing, op7_html_extraction, op8_token_counts, op9_token_files, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_bpe_round_trip, op2_substring_dedup, op3_ngram_jaccard_join, op4_quality_rules, op5_secret_scans, op6_best_fit_packing, op7_html_extraction, op8_token_counts, op9_token_files, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -37,7 +37,7 @@ MAGIC = b"GLNIDS01"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 MANIFEST = "bucket int, path string, n_docs long, n_ids long, n_bytes long"
 BLOCK_IDS = 1 << 16
-LEVEL = 3
+LEVEL = 1
 
 
 def planes_of(block: np.ndarray, kind: str) -> list[np.ndarray]:
@@ -62,7 +62,7 @@ def block_of(planes: list[bytes], n: int, kind: str) -> np.ndarray:
 class Writer:
     """Writes ids to a stream, a block at a time; it holds a block, and 17 bytes for each document."""
 
-    def __init__(self, stream, block_ids: int = BLOCK_IDS, kind: str = "bit", level: int = LEVEL):
+    def __init__(self, stream, block_ids: int = BLOCK_IDS, kind: str = "byte", level: int = LEVEL):
         import zstandard
 
         self.stream, self.size, self.kind = stream, block_ids, kind
@@ -167,7 +167,7 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_files(docs: DataFrame, to: str, tokenizer: str, end_id: int = 0, block_ids: int = BLOCK_IDS, kind: str = "bit", level: int = LEVEL, n_files: int | None = None) -> DataFrame:
+def write_files(docs: DataFrame, to: str, tokenizer: str, end_id: int = 0, block_ids: int = BLOCK_IDS, kind: str = "byte", level: int = LEVEL, n_files: int | None = None) -> DataFrame:
     """Writes the ids of all documents, a file for each range of doc_id; gives MANIFEST, a row for each file."""
     spark = docs.sparkSession
     shared.ship(spark)

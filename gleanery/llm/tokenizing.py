@@ -1,9 +1,9 @@
-"""Whole texts to ids with the tokenizers library, distinct words once.
+"""Whole texts to ids with the tokenizers library, distinct pieces once.
 
 A byte-level BPE never merges across its pre-tokens, and a space or line end before a character that isn't white space
-always begins one. So a text may be cut there, and a piece that comes again takes its ids from a table. The library
-encodes each new piece, a batch at a time; texts in which white space meets white space, or with a special token, go to
-it as they are.
+always begins one. So a text may be cut there, and a piece that comes again takes its ids from a table. A new piece is
+cut into its pre-tokens, whose ids the library's model gives. Texts in which white space meets white space, or with a
+special token, go to the library as they are, and so do pieces with uncommon characters.
 """
 
 from __future__ import annotations
@@ -15,11 +15,19 @@ import numpy as np
 
 #: White space beside white space, or other than space and line end: such a text isn't cut.
 UNCUT = re.compile(r"\s\s|[^\S \n]")
-SEPARATOR = "\t"
-#: Pieces kept in a worker; beyond it the table starts anew.
-MOST_PIECES = 800_000
-#: Characters that one call of the library gets.
-CALL_CHARS = 1 << 18
+#: Letters, numbers and the pre-token pattern of byte-level vocabularies, for characters up to U+017F.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
+PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+UNCOMMON = re.compile("[^\n\x20-\x7e\xa1-ſ]")
+#: Pieces in each of the worker's two tables; when the newer is full, the older is dropped.
+MOST_PIECES = 400_000
+
+
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else one from U+0100 on."""
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printing else chr(next(others)) for b in range(256)]
 
 
 class ByteLevelEncoder:
@@ -32,32 +40,45 @@ class ByteLevelEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.tokenize = self.library.model.tokenize
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.tab = self._whole(SEPARATOR)
+        self.raw = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.spelling = {i: s for i, s in enumerate(byte_symbols())}
+        self.stops = {s: self._whole(s) for s in ".,"}
         self.most = most_pieces
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _ids(self, text: str) -> bytes:
+        """The ids of a text without special tokens."""
+        if UNCOMMON.search(text):
+            return self._whole(text)
+        if text[:1] == " " and text[1:].isalpha() and text.isascii():  # the most frequent case: one pre-token
+            return b"".join([self.raw[t.id] for t in self.tokenize("Ġ" + text[1:])])
+        return self._pretokens(text)
+
+    def _pretokens(self, text: str) -> bytes:
+        out = []
+        for word in PRETOKEN.findall(text):
+            spelled = word.replace(" ", "Ġ").replace("\n", "Ċ") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.spelling)
+            out += [self.raw[t.id] for t in self.tokenize(spelled)]
+        return b"".join(out)
+
     def _learn(self, pieces: list[str]) -> None:
         """Pieces begin with a line end, or stand for themselves after a space."""
-        blank = [p for p in pieces if not p.strip()]
-        self.known.update((p, self._whole(p if p[:1] == "\n" else " " + p)) for p in blank)
-        rest = [p for p in pieces if p.strip()]
-        tab = np.frombuffer(self.tab, dtype="<u4")[0]
-        start = 0
-        while start < len(rest):
-            end, size = start, 0
-            while end < len(rest) and (end == start or size < CALL_CHARS):
-                size += len(rest[end]) + 2
-                end += 1
-            call = rest[start:end]
-            ids = np.array(self.library.encode(SEPARATOR.join(p if p[0] == "\n" else " " + p for p in call), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == tab).tolist()
-            raw = ids.tobytes()
-            self.known.update(zip(call, (raw[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True)), strict=True))
-            start = end
+        known, older = self.known, self.older
+        for piece in pieces:
+            ids = older.get(piece)
+            if ids is None:
+                stop = self.stops.get(piece[-1:])
+                if stop and piece[-2:-1].isalnum() and piece.isascii():  # the stop is a pre-token of its own
+                    before = known.get(piece[:-1]) or older.get(piece[:-1])
+                    ids = before + stop if before else None
+                ids = ids or self._ids(piece if piece[:1] == "\n" else " " + piece)
+            known[piece] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut: list[list[str] | None] = []
@@ -69,13 +90,12 @@ class ByteLevelEncoder:
                 pieces = text.replace("\n", " \n").split(" ")
                 cut.append(pieces)
                 need.update(pieces[1:])
-        if len(self.known) + len(need) > self.most:
-            self.known = {}
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
         known = self.known
-        if missing := [p for p in need if p not in known]:
-            self._learn(missing)
+        self._learn([p for p in need if p not in known])
         get = known.__getitem__
-        return [self._whole(text) if pieces is None else self._whole(pieces[0]) + b"".join(map(get, pieces[1:])) for text, pieces in zip(texts, cut, strict=True)]
+        return [self._whole(text) if pieces is None else self._ids(pieces[0]) + b"".join(map(get, pieces[1:])) for text, pieces in zip(texts, cut, strict=True)]
 
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
