@@ -1,30 +1,13 @@
-"""Connected components of a graph of any size, by alternating large and small stars.
-
-Each round links every node to the least node among its neighbours; the edges become stars around the least node of each
-component. A round is written to the shared folder, which ends its lineage. Minima are summed up before they are moved,
-and the joins of a star's centre are split by the skew handling of adaptive execution.
-"""
+"""Connected components, each round written to the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gleanery.llm import shared
+from gleanery.operators.graph import connected_components
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges: u, v (long). Gives node and component, the least node that it reaches, for each node of an edge but the least ones."""
-    stars = shared.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("least"))
-        small = large.join(lower, "u").where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(lower.select("u", F.col("least").alias("v"))).distinct()
-        stars = shared.written(small, "stars")
+    """edges: u, v (long). Gives node and component, the least node that it reaches, for each node of an edge."""
+    return connected_components(edges, lambda df: shared.written(df, "stars"))
