@@ -34,11 +34,12 @@ def _band_keys(h: Column, flips: int) -> Column:
     """A struct of band and value for each way to flip up to so many bits in one band of the hash."""
     masks = [sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(BAND_BITS), n)]
     values = F.array(*map(F.lit, masks))
-    bands = []
-    for band in range(BANDS):
+
+    def around(band: int) -> Column:
         value = F.shiftrightunsigned(h, band * BAND_BITS).bitwiseAND(F.lit((1 << BAND_BITS) - 1).cast("long")).cast("int")
-        bands.append(F.transform(values, lambda m, v=value, b=band: F.struct(F.lit(b).alias("band"), v.bitwiseXOR(m).alias("value"))))
-    return F.flatten(F.array(*bands))
+        return F.transform(values, lambda m: F.struct(F.lit(band).alias("band"), value.bitwiseXOR(m).alias("value")))
+
+    return F.flatten(F.array(*map(around, range(BANDS))))
 
 
 def hamming_pairs(df: DataFrame, distance: int = HASH_DISTANCE, id_column: str = "id", hash_column: str = "phash", direct_rows: int = DIRECT_ROWS) -> DataFrame:
