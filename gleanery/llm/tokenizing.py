@@ -20,7 +20,7 @@ LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
 UNCOMMON = re.compile("[^\n\x20-\x7e\xa1-ſ]")
 #: Pieces in each of the worker's two tables; when the newer is full, the older is dropped.
-MOST_PIECES = 400_000
+MOST_PIECES = 700_000
 
 
 def byte_symbols() -> list[str]:
@@ -46,56 +46,58 @@ class ByteLevelEncoder:
         self.spelling = {i: s for i, s in enumerate(byte_symbols())}
         self.stops = {s: self._whole(s) for s in ".,"}
         self.most = most_pieces
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self)
         self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, spelled: str) -> bytes:
+        """The ids of a pre-token that is spelled in the vocabulary's characters."""
+        return b"".join([self.raw[t.id] for t in self.tokenize(spelled)])
+
     def _ids(self, text: str) -> bytes:
         """The ids of a text without special tokens."""
         if UNCOMMON.search(text):
             return self._whole(text)
-        if text[:1] == " " and text[1:].isalpha() and text.isascii():  # the most frequent case: one pre-token
-            return b"".join([self.raw[t.id] for t in self.tokenize("Ġ" + text[1:])])
-        return self._pretokens(text)
-
-    def _pretokens(self, text: str) -> bytes:
-        out = []
-        for word in PRETOKEN.findall(text):
-            spelled = word.replace(" ", "Ġ").replace("\n", "Ċ") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.spelling)
-            out += [self.raw[t.id] for t in self.tokenize(spelled)]
-        return b"".join(out)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces begin with a line end, or stand for themselves after a space."""
-        known, older = self.known, self.older
-        for piece in pieces:
-            ids = older.get(piece)
-            if ids is None:
-                stop = self.stops.get(piece[-1:])
-                if stop and piece[-2:-1].isalnum() and piece.isascii():  # the stop is a pre-token of its own
-                    before = known.get(piece[:-1]) or older.get(piece[:-1])
-                    ids = before + stop if before else None
-                ids = ids or self._ids(piece if piece[:1] == "\n" else " " + piece)
-            known[piece] = ids
+        return b"".join([self._word(w.encode("utf-8").decode("latin-1").translate(self.spelling)) for w in PRETOKEN.findall(text)])
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of a new piece; pieces begin with a line end, or stand for themselves after a space."""
+        ids = self.older.get(piece)
+        if ids is not None:
+            return ids
+        if piece.isalpha():  # one pre-token
+            if piece.isascii():
+                return self._word("Ġ" + piece)
+            if max(piece) <= "ſ":
+                return self._word("Ġ" + piece.encode("utf-8").decode("latin-1").translate(self.spelling))
+        stop = self.stops.get(piece[-1:])
+        if stop and piece[:-1].isalpha() and piece.isascii():  # the stop is a pre-token of its own
+            return self.known[piece[:-1]] + stop
+        return self._ids(piece if piece[:1] == "\n" else " " + piece)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        need: set[str] = set()
+        if len(self.known) > self.most:
+            self.known, self.older = _Pieces(self), dict(self.known)
+        get, specials, out = self.known.__getitem__, self.specials, []
         for text in texts:
-            if UNCUT.search(text) or any(s in text for s in self.specials):
-                cut.append(None)
+            if UNCUT.search(text) or any(s in text for s in specials):
+                out.append(self._whole(text))
             else:
-                pieces = text.replace("\n", " \n").split(" ")
-                cut.append(pieces)
-                need.update(pieces[1:])
-        if len(self.known) > self.most:
-            self.known, self.older = {}, self.known
-        known = self.known
-        self._learn([p for p in need if p not in known])
-        get = known.__getitem__
-        return [self._whole(text) if pieces is None else self._ids(pieces[0]) + b"".join(map(get, pieces[1:])) for text, pieces in zip(texts, cut, strict=True)]
+                first, *pieces = text.replace("\n", " \n").split(" ")
+                out.append(self._ids(first) + b"".join(map(get, pieces)))
+        return out
+
+
+class _Pieces(dict):
+    def __init__(self, encoder: ByteLevelEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.encoder.piece(piece)
+        return ids
 
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
