@@ -58,17 +58,27 @@ class MergeAutomaton:
         self.parts: list[tuple[int, int] | None] = [None] * n
         self.lost: list[dict[int, int]] = [{} for _ in range(n)]  # arcs that the state behind a label has lost, and when
         self.table: dict[int, bool] = {}
+        self.unused: set[int] = set()  # labels of merges that never apply
         for when, (left, right) in enumerate(merges):
             self._gadget(when, self.number[left], self.number[right])
+        self.number = {label: i for label, i in self.number.items() if i not in self.unused}
         self._shorter = [self._prefix(s) for s in self.labels]
         self.longest = max(map(len, self.labels), default=0)
 
     def _gadget(self, when: int, u: int, v: int) -> None:
-        """Splits the state behind u, drops its arc v, and adds the arcs uv, which lead to the state behind v as it is now."""
-        self.lost[u].setdefault(v, when)
+        """Splits the state behind u, drops its arc v, and adds the arcs uv, which lead to the state behind v as it is now.
+
+        Where u is followed by v nowhere, since earlier merges took these arcs, the merge never applies and adds none.
+        """
         label = self.labels[u] + self.labels[v]
-        if label in self.number:
-            raise ValueError(f"two merges make {label!r}")
+        applies = u not in self.unused and v not in self.unused and self._arc(u, v)
+        if label in self.number and (applies or self.number[label] not in self.unused):
+            if applies:
+                raise ValueError(f"two merges make {label!r}")
+            return
+        if not applies:
+            self.unused.add(len(self.labels))
+        self.lost[u].setdefault(v, when)
         self.number[label] = len(self.labels)
         self.labels.append(label)
         self.made.append(when)

@@ -125,7 +125,7 @@ class Reader:
         self.kind = "byte" if by_byte else "bit"
         self.n_blocks = -(-self.n_ids // self.size)
         at, n = 32, self.n_blocks * (self.n_planes + 1)
-        self.offsets = np.frombuffer(index, "<i8", n, at).reshape(self.n_blocks, -1)
+        self.offsets = np.frombuffer(index, "<i8", n, at).reshape(self.n_blocks, self.n_planes + 1)
         at += 8 * n
         (self.n_docs,) = struct.unpack_from("<q", index, at)
         self.docs = np.frombuffer(index, "<i8", self.n_docs, at + 8)
