@@ -9,6 +9,10 @@ subset. Large sets (heavy) are found by scanning the inverted lists of single sh
 that are large enough to link to a large one stand too. The boundary is where the estimated number of rows is least, given
 how many sets have each size and how long the lists are.
 
+Before the shingles of a pair are compared, parity bitmaps are: each bit of a set's is the parity of the shingles that fall
+on it, and two sets differ in at least as many shingles as their bitmaps, folded to one length, differ in bits. A pair whose
+bitmaps differ in more than linked sets may differ in doesn't link; only what is left needs the texts again.
+
 The rows of a key never become all their pairs. First each is checked against the key's least set only; linked sets are
 one component from then on. Only keys whose sets are of several components are looked at again, and there only pairs
 of different components are checked. Every link thus joins sets that are found connected, so components are exact.
@@ -38,15 +42,17 @@ from gleanery.llm.shingles import mixed, shingle_set
 RESULT_COLUMNS = ("doc_id", "n_shingles", "component_id")
 NUM, DEN = 75, 100
 #: Frequent shingles that all tasks know, at 8 bytes each, and the count from which a shingle is one.
-FREQUENT, LEAST_COUNT = 1 << 18, 32
+FREQUENT, LEAST_COUNT = 1 << 19, 16
+#: Bits of a set's parity bitmap: a power of two from LEAST_MARK on, about four for each shingle.
+LEAST_MARK = 2048
 #: Largest size up to which sets may be small.
 MOST_SMALL = 64
 #: Ids that may be broadcast.
 BROADCAST_IDS = 1_000_000
 #: Distinct sets that a task remembers so as not to emit a copy's keys again.
 REMEMBERED = 200_000
-SURVEY = "doc_id long, n_shingles long, node long, shingle long, times long"
-KEYS = "key long, node long, n long"
+SURVEY = "doc_id long, n_shingles long, node long, shingle long, times long, mark binary"
+KEYS = "part long, key long, node long, n long, pivot long, pivot_n long"
 RUNS = "key long, node long, n long, pivot long, pivot_n long"
 
 
@@ -62,6 +68,23 @@ def node_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def mark_of(shingles: np.ndarray) -> bytes:
+    """The parity bitmap of a set."""
+    bits = max(LEAST_MARK, 1 << (4 * len(shingles) - 1).bit_length())
+    at = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
+
+
+def marks_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, the longer one folded to the length of the other."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
     return common > 0 and DEN * common >= NUM * (len(x) + len(y) - common)
@@ -118,20 +141,21 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = times > 1
         value, times = values[twice].view(np.int64), times[twice]
         nothing = pa.nulls(len(value) + 2, pa.int64())
-        return pa.RecordBatch.from_arrays([nothing, nothing, pa.array([0, 1] + [None] * len(value), pa.int64()), pa.concat_arrays([pa.nulls(2, pa.int64()), pa.array(value)]), pa.concat_arrays([total, pa.array(times.astype(np.int64))])], schema=schema)
+        return pa.RecordBatch.from_arrays([nothing, nothing, pa.array([0, 1] + [None] * len(value), pa.int64()), pa.concat_arrays([pa.nulls(2, pa.int64()), pa.array(value)]), pa.concat_arrays([total, pa.array(times.astype(np.int64))]), pa.nulls(len(value) + 2, pa.binary())], schema=schema)
 
     held: list[np.ndarray] = []
     size = 0
     for batch in shared.slices(batches, "text"):
-        ids, ns, nodes = batch.column("doc_id"), [], []
+        ids, ns, nodes, marks = batch.column("doc_id"), [], [], []
         for text in shared.texts_of(batch):
             shingles = shingle_set(text)
             ns.append(len(shingles))
             nodes.append(node_of(shingles) if len(shingles) else None)
+            marks.append(mark_of(shingles) if len(shingles) else None)
             held.append(shingles[: len(shingles) - overlap(len(shingles)) + 1])
             size += len(held[-1])
         nothing = pa.nulls(len(ns), pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), nothing, nothing], schema=schema)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), nothing, nothing, pa.array(marks, pa.binary())], schema=schema)
         if size > 1 << 21:
             yield counts(held)
             held, size = [], 0
@@ -139,6 +163,18 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counts(held)
 
 
+def combined(keys: np.ndarray, nodes: np.ndarray, ns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """KEYS of the rows of a batch, combined before they are moved: a key's least node goes to the key's task, and the other
+    rows, which have that node as their pivot already, anywhere. A hot key is then a row a batch in its task."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes, ns = keys[order], nodes[order], ns[order]
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+    part = np.where(first, keys, mixed(keys + mixed(nodes.view(np.uint64))))
+    return part.view(np.int64), keys.view(np.int64), nodes, ns, nodes[lead], ns[lead]
+
+
 def _keyed(frequent: np.ndarray, small: int):
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, seen = shared.schema_of(KEYS), set()
@@ -158,22 +194,28 @@ def _keyed(frequent: np.ndarray, small: int):
                 nodes.append(np.full(len(own), node, dtype=np.int64))
                 ns.append(np.full(len(own), len(shingles), dtype=np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(ns))], schema=schema)
+                columns = combined(np.concatenate(keys), np.concatenate(nodes), np.concatenate(ns))
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), schema=schema)
 
     return keyed
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of key and node, those whose key has several nodes, with the key's least node; holds one row between batches."""
+    """Of rows in order of part and node, those whose key has several nodes, with the key's least node, or with the pivot that they
+    came with; holds one row between batches."""
     schema = shared.schema_of(RUNS)
     last: tuple[int, int, int] | None = None  # the row before
     pivot, told = (0, 0), False  # its key's least node, and whether that row has been given out
     for batch in batches:
-        key, node, n = (batch.column(i).to_numpy() for i in range(3))
-        if last is not None:
-            key, node, n = (np.concatenate([[x], y]) for x, y in zip(last, (key, node, n), strict=True))
+        key, node, n, came, came_n = (batch.column(c).to_numpy() for c in ("key", "node", "n", "pivot", "pivot_n"))
+        star = node != came
+        if star.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[star]) for x in (key, node, n, came, came_n)], schema=schema)
+        key, node, n = key[~star], node[~star], n[~star]
         if not len(key):
             continue
+        if last is not None:
+            key, node, n = (np.concatenate([[x], y]) for x, y in zip(last, (key, node, n), strict=True))
         keep = np.ones(len(key), dtype=bool)
         keep[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
         key, node, n = key[keep], node[keep], n[keep]
@@ -198,6 +240,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (key, node, n, pivots, pivot_ns)], schema=schema)
 
 
+def _maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose bitmaps leave it open whether they link."""
+    schema = shared.schema_of("u long, v long")
+    for batch in batches:
+        sizes = (batch.column("n_u").to_numpy() + batch.column("n_v").to_numpy()).tolist()
+        marks = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), sizes, strict=True)
+        keep = pa.array([marks_apart(x, y) * (NUM + DEN) <= n * (DEN - NUM) for x, y, n in marks], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("u", "v")], schema=schema)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = shared.schema_of("u long, v long")
     for batch in batches:
@@ -216,14 +268,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(texts: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) that link. first: node and the _id of a document with it; only the texts of these nodes are read again."""
+    """The pairs (u, v) that link. first: node, size and bitmap of each set and the _id of a document with it; only the texts of
+    pairs that the bitmaps leave open are read again."""
+    a, b = first.alias("a"), first.alias("b")  # the same rows by the same key, so that they are moved once
+    marked = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node"))
+    marked = marked.select("u", "v", F.col("a.n_shingles").alias("n_u"), F.col("b.n_shingles").alias("n_v"), F.col("a.mark").alias("x"), F.col("b.mark").alias("y"))
+    pairs = shared.written(marked.mapInArrow(_maybe, "u long, v long"), "maybe")
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     ids = shared.written(first.join(nodes, "node", "left_semi").select("_id").distinct(), "verify-ids")
     chosen = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "_id", "left_semi")
-    sets = shared.written(chosen.select("text").mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"]), "verify-sets")
-    with_x = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("x")), "u")
-    with_y = with_x.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("y")), "v")
-    return shared.written(with_y.select("u", "v", "x", "y").mapInArrow(_verified, "u long, v long"), "links")
+    sets = shared.written(chosen.select("text").mapInArrow(_sets, "node long, shingles binary"), "verify-sets")
+    a, b = sets.alias("a"), sets.alias("b")
+    both = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node"))
+    both = both.select("u", "v", F.col("a.shingles").alias("x"), F.col("b.shingles").alias("y"))
+    return shared.written(both.mapInArrow(_verified, "u long, v long"), "links")
 
 
 def near(n: str, m: str) -> str:
@@ -237,7 +295,7 @@ def joined(docs: DataFrame) -> DataFrame:
     shared.ship(spark)
     texts = docs.select(shared.long_id(docs, "doc_id").alias("_id"), docs["text"].cast("string").alias("text"))
     survey = shared.written(texts.select(F.col("_id").alias("doc_id"), "text").mapInArrow(_survey, SURVEY), "survey")
-    sets = survey.where("n_shingles is not null").select(F.col("doc_id").alias("_id"), "n_shingles", "node")
+    sets = survey.where("n_shingles is not null").select(F.col("doc_id").alias("_id"), "n_shingles", "node", "mark")
     counted = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).where(f"times >= {LEAST_COUNT}")
     frequent = np.sort(np.array([r["shingle"] for r in counted.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").collect()], dtype=np.int64).view(np.uint64))
     sizes = {r["n_shingles"]: r["n"] for r in sets.where(f"n_shingles between 3 and {MOST_SMALL * DEN // NUM}").groupBy("n_shingles").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -245,9 +303,11 @@ def joined(docs: DataFrame) -> DataFrame:
     small = boundary(sizes, lists.get(0, 1) / max(1, lists.get(1, 1)))
 
     keys = texts.select("text").mapInArrow(_keyed(frequent, small), KEYS)
-    dealt = keys.repartition(4 * shared.partitions(spark), "key").sortWithinPartitions("key", "node")
+    dealt = keys.repartition(4 * shared.partitions(spark), "part").sortWithinPartitions("part", "node")
     runs = shared.written(dealt.mapInArrow(_runs, RUNS), "runs")
-    first = sets.where("node is not null").groupBy("node").agg(F.min("_id").alias("_id"))
+    least = F.min_by(F.struct("n_shingles", "mark"), "_id")
+    first = sets.where("node is not null").groupBy("node").agg(F.min("_id").alias("_id"), least.alias("s")).select("node", "_id", "s.n_shingles", "s.mark")
+    first = shared.written(first, "first")
 
     stars = shared.written(runs.where("node <> pivot").where(near("n", "pivot_n")).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), "stars")
     links = verified(texts, first, stars)
@@ -266,7 +326,7 @@ def joined(docs: DataFrame) -> DataFrame:
     by_node = first.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(least, "component").select("node", "component_id")
     copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("n_copies"))
     nodes = shared.written(by_node.join(copies, "node"), "nodes")
-    out = shared.join_groups(sets, nodes, "node", "n_copies", survey.count())
+    out = shared.join_groups(sets.drop("mark"), nodes, "node", "n_copies", survey.count())
     null = F.lit(-(2**63))
     component = F.coalesce("component_id", "_id")
     return out.select(F.when(F.col("_id") != null, F.col("_id")).alias("doc_id"), "n_shingles", F.when(component != null, component).alias("component_id"))

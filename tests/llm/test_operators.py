@@ -229,15 +229,27 @@ def test_runs_do_not_depend_on_batches():
 
     rng = random.Random(3)
     rows = sorted((rng.randrange(12), rng.randrange(8), 5) for _ in range(80))
+    by_key = collections.defaultdict(set)
+    for k, node, _ in rows:
+        by_key[k].add(node)
     for step in (1, 2, 7, 80):
-        batches = [pa.RecordBatch.from_pydict({c: pa.array([r[i] for r in rows[k : k + step]], pa.int64()) for i, c in enumerate(("key", "node", "n"))}) for k in range(0, len(rows), step)]
+        plain = [{"part": k, "key": k, "node": node, "n": n, "c": n, "pivot": node, "pivot_n": n, "pivot_c": n} for k, node, n in rows]
+        batches = [pa.RecordBatch.from_pylist(plain[k : k + step]) for k in range(0, len(rows), step)]
         got = [(r["key"], r["node"], r["pivot"]) for b in ngram_join._runs(iter(batches)) for r in b.to_pylist()]
-        by_key = collections.defaultdict(set)
-        for k, node, _ in rows:
-            by_key[k].add(node)
         assert sorted(got) == sorted((k, node, min(v)) for k, v in by_key.items() if len(v) > 1 for node in v)
         stars = [(r["key"], r["node"], r["pivot"]) for b in substring_dedup._stars(iter(batches)) for r in b.to_pylist()]
         assert set(stars) == {(k, node, min(v)) for k, v in by_key.items() for node in v if node != min(v)}
+    # combined in batches first, every node is still tied to its key's least node, at once or by another
+    parts = [ngram_join.combined(*(np.array(x, dtype=t) for t, x in zip((np.uint64, np.int64, np.int64), ([r[0] for r in rows[i::3]], [r[1] for r in rows[i::3]], [5] * len(rows[i::3])), strict=True))) for i in range(3)]
+    moved = sorted(zip(*(np.concatenate(x).tolist() for x in zip(*parts, strict=True)), strict=True), key=lambda r: (r[0], r[2]))
+    ties = collections.defaultdict(list)
+    for r in (r for b in ngram_join._runs(iter([pa.RecordBatch.from_pylist([dict(zip(("part", "key", "node", "n", "pivot", "pivot_n"), m, strict=True)) for m in moved])])) for r in b.to_pylist()):
+        ties[r["key"]].append((r["node"], r["pivot"]))
+    for k, nodes in by_key.items():
+        reached = {min(nodes)}
+        for _ in nodes:
+            reached |= {a for a, b in ties[k] if b in reached} | {b for a, b in ties[k] if a in reached}
+        assert reached == nodes
 
 
 def test_one_of_each_component_stays(docs, corpus):
@@ -513,3 +525,11 @@ def test_canonical_forms():
     same = fingerprints.fingerprint("Ｆｕｌｌ  width\tStraße\n")
     assert same == fingerprints.fingerprint("full width STRASSE") != fingerprints.fingerprint("full widths STRASSE")
     assert fingerprints.fingerprint("") == fingerprints.fingerprint(" \n") == fingerprints.digest("")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 3000), st.integers(0, 400), st.integers(0, 2**31))
+def test_bitmaps_never_differ_more_than_sets(n, more, seed):
+    pool = np.unique(np.random.default_rng(seed).integers(0, 2**64, n + more, dtype=np.uint64))
+    x, y = pool[:n], pool[min(n, len(pool)) // 3 :]
+    assert ngram_join.marks_apart(ngram_join.mark_of(x), ngram_join.mark_of(y)) <= len(np.setxor1d(x, y))
