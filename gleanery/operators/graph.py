@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from gleanery.durable import durable
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether each upper end has one edge and is no lower end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """edges: u, v (long), undirected. Gives node and component, its least node, for each node of an edge; lone nodes have none.
 
@@ -17,12 +23,7 @@ def connected_components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame
     each component: a number of rounds that grows with the logarithm of the longest path. keep ends a round's lineage.
     """
     stars = keep(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
-    while True:
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            break
-        before = now
+    while not _is_star_forest(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
