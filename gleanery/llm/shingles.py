@@ -10,7 +10,7 @@ import numpy as np
 
 WIDTH = 5
 #: Word numbers kept in a worker; beyond it the table starts anew.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 400_000
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33))
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
