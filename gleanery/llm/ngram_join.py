@@ -17,8 +17,8 @@ The rows of a key never become all their pairs. First each is checked against th
 one component from then on. Only keys whose sets are of several components are looked at again, and there only pairs
 of different components are checked. Every link thus joins sets that are found connected, so components are exact.
 
-Frequent shingles are counted over all documents: a task counts its own prefixes and hands on what it has seen twice, so a
-count is too low by one a task at most; the FREQUENT most frequent ones are known to all tasks. They change which
+Frequent shingles are counted over all documents: a task counts its own and hands on, every two million, what it has seen twice,
+so a count is too low by one for each such part; the FREQUENT most frequent ones are known to all tasks. They change which
 candidates are looked at, never which pairs link.
 
 Defined cases: a null or empty text, or one of white space, has an empty set, links with nothing and is its own component;
@@ -132,7 +132,7 @@ def boundary(sizes: dict[int, int], list_length: float) -> int:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, size and node of each document, then the task's counts of shingles that begin its sets (unordered prefixes)."""
+    """doc_id, size, node and bitmap of each document, and the task's counts of shingles."""
     schema = shared.schema_of(SURVEY)
 
     def counts(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -152,7 +152,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ns.append(len(shingles))
             nodes.append(node_of(shingles) if len(shingles) else None)
             marks.append(mark_of(shingles) if len(shingles) else None)
-            held.append(shingles[: len(shingles) - overlap(len(shingles)) + 1])
+            held.append(shingles)
             size += len(held[-1])
         nothing = pa.nulls(len(ns), pa.int64())
         yield pa.RecordBatch.from_arrays([ids, pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), nothing, nothing, pa.array(marks, pa.binary())], schema=schema)
