@@ -142,6 +142,24 @@ def test_windows_have_the_least_of_each_window():
     assert got.tolist() == [k + int(np.argmin(hashes[k : k + 46])) for k in range(400 - 45)]
 
 
+def test_passages_with_words_put_in_or_left_out_are_near():
+    numbers = lambda words: substring_dedup.brief(substring_dedup.shingle_numbers(substring_dedup.word_numbers(" ".join(words))))
+    passage = prose(40, 80).split()
+    changed = {"put in": [*passage[:40], "new", *passage[40:]], "left out": passage[:40] + passage[41:], "replaced": [*passage[:40], "new", *passage[41:]]}
+    for words in changed.values():
+        x = numbers([*prose(41, 60).split(), *words, *prose(42, 60).split()])
+        y = numbers([*prose(43, 30).split(), *passage, *prose(44, 60).split()])
+        for at in (0, 40):  # the offset before the change, and behind it
+            ((a, b),) = {(min(s), max(e)) for s, e in [zip(*substring_dedup.verified_spans(x, y, [30 + at // 40 * (len(words) - 80)]), strict=True)]}
+            assert 50 <= a <= 62 and 134 <= b <= 146
+    # every 60 words one more: the offset moves on, further than a window may
+    long = prose(45, 600).split()
+    more = [w for i, v in enumerate(long) for w in ([v, "new"] if i % 60 == 59 else [v])]
+    covered = {k for a, b in substring_dedup.verified_spans(numbers(more), numbers(long), [0]) for k in range(a, b)}
+    assert len(covered) > 560
+    assert not substring_dedup.verified_spans(numbers(prose(46, 300).split()), numbers(prose(47, 300).split()), [0, 5])
+
+
 def test_deduplicated_texts_share_no_passage(docs, corpus):
     out = substring_dedup.deduplicated(docs)
     assert out.columns == docs.columns
