@@ -160,6 +160,34 @@ def test_passages_with_words_put_in_or_left_out_are_near():
     assert not substring_dedup.verified_spans(numbers(prose(46, 300).split()), numbers(prose(47, 300).split()), [0, 5])
 
 
+def test_rows_keep_every_place_of_a_keys_first_text():
+    key, node, c = np.array([9, 9, 9, 9], np.uint64), np.array([1, 1, 1, 2]), np.array([3, 70, 200, 8])
+    batches = [substring_dedup.combined(key, node, c), substring_dedup.combined(key[:1], node[:1], c[:1])]
+    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["part"], r["node"], r["c"]))
+    import pyarrow as pa
+
+    stars = [r for b in substring_dedup._stars(iter([pa.RecordBatch.from_pylist(rows, schema=batches[0].schema)])) for r in b.to_pylist()]
+    assert {(r["node"], r["c"]) for r in stars} | {(r["pivot"], r["c"] - r["d"]) for r in stars} == {(1, 3), (1, 70), (1, 200), (2, 8)}
+
+
+def test_equal_passages_beside_a_pivots_are_found(spark):
+    """Texts that share a signature, each having a span with one text and an equal passage with another that the first lacks."""
+    for seed in range(3):
+        words = prose(700 + seed, 400).split()
+        rows = []
+        for i in range(14):
+            a = 4 * i
+            rows.append((i, " ".join([*prose(800 + 20 * seed + i, 30).split(), *words[a : a + 60], *prose(900 + 20 * seed + i, 30).split()])))
+        found = collections.defaultdict(set)
+        for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+            found[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+        left = collections.Counter()
+        for i, t in rows:
+            w = t.split()
+            left.update({tuple(w[k : k + 50]) for k in range(len(w) - 49) if not found[i].issuperset(range(k, k + 50))})
+        assert max(left.values()) == 1
+
+
 def test_deduplicated_texts_share_no_passage(docs, corpus):
     out = substring_dedup.deduplicated(docs)
     assert out.columns == docs.columns
