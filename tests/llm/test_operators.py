@@ -188,6 +188,30 @@ def test_equal_passages_beside_a_pivots_are_found(spark):
         assert max(left.values()) == 1
 
 
+def test_near_passages_beside_a_pivots_are_found(spark):
+    """Variants of a passage, each with one word replaced: most aren't near to the first of them, but to another."""
+    rng = random.Random(8)
+    passage, rows, at = prose(50, 60).split(), [], {}
+    for i in range(60):
+        words = list(passage)
+        words[rng.randrange(20, 40)] = prose(5100 + i, 2).replace(" ", "")
+        rows.append((i, " ".join([*prose(5200 + i, 20 + i).split(), *words, *prose(5300 + i, 30).split()])))
+        at[i] = 20 + i
+    numbers = {i: substring_dedup.word_numbers(t) for i, t in rows}
+    node = {i: substring_dedup.node_of(w) for i, w in numbers.items()}
+    x = {i: substring_dedup.brief(substring_dedup.shingle_numbers(w)) for i, w in numbers.items()}
+    expected = {i for i in x for j in x if node[j] < node[i] and substring_dedup.verified_spans(x[i], x[j], [at[i] - at[j]])}
+    first_only = {i for i in x for j in [min(node, key=node.get)] if j != i and substring_dedup.verified_spans(x[i], x[j], [at[i] - at[j]])}
+    found = {r["doc_id"] for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found <= expected and len(found) >= 0.95 * len(expected) and len(first_only) < 0.7 * len(expected), (len(found), len(expected), len(first_only))
+
+
+def test_rounds_of_partners_go_on_to_the_last(spark, monkeypatch, docs):
+    whole = sorted(map(str, substring_dedup.repeated_passages(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "PARTNERS_AT_FIRST", 1)
+    assert sorted(map(str, substring_dedup.repeated_passages(docs).collect())) == whole
+
+
 def test_deduplicated_texts_share_no_passage(docs, corpus):
     out = substring_dedup.deduplicated(docs)
     assert out.columns == docs.columns
