@@ -4,7 +4,8 @@ A packer holds a fixed number of open bins. A bitset has a bit for each free spa
 tightest bin for a piece is the lowest set bit from the piece's length on. A piece that fits nowhere opens a bin; if all
 places are taken, the fullest bin closes first.
 
-Each task packs its own pieces, longest first, so the sequences that stay part empty are a few for each task.
+Each task packs its own pieces, longest first, with as many bins open as it has pieces, so none closes before the short pieces
+come that fill it, and the sequences that stay part empty are a few for each task.
 
 Defined cases: a null or empty text is its end id alone; repeated rows are packed as often as they come; other columns
 are ignored; an empty table gives no rows; a text longer than a sequence is cut, its first piece the shorter one.
@@ -24,10 +25,10 @@ from gleanery.llm.tokenizing import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RESULT = f"{PIECES}, sequence_id long, offset long"
-#: Bins that a packer holds open.
-OPEN_BINS = 4096
 #: Pieces that a task packs: at 40 bytes each a small sort, and enough to leave few sequences part empty.
 TASK_PIECES = 100_000
+#: Bins that a packer holds open: all that a task's pieces can open, tasks being dealt by hash and so of about that size.
+OPEN_BINS = 2 * TASK_PIECES
 
 
 class BestFit:

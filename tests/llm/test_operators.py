@@ -470,6 +470,14 @@ def test_best_fit_takes_the_tightest_open_bin(lengths, open_bins):
         assert is_open == {b for space in packer.at for b in space}
 
 
+def test_packing_is_tight_with_more_long_pieces_than_4096(spark):
+    rng = random.Random(4)
+    lengths = [rng.randrange(513, 1000) for _ in range(9000)]
+    lengths += [1024 - n for n in lengths]
+    items = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+    assert packing.pack(items, 1024).select("sequence_id").distinct().count() <= 9000 * 1.002
+
+
 # HTML extraction
 
 
