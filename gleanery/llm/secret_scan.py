@@ -2,7 +2,8 @@
 
 The fixed patterns find assigned tokens, access keys and hexadecimal strings. Besides these, a value that stands behind a
 credential word is segmented into dictionary words, dates, repeats, sequences, keyboard walks and brute-force spans so
-that the guesses it takes are fewest; if even these are many, the value is a secret.
+that the guesses it takes are fewest; if even these are many, the value is a secret. A value that a fixed pattern's span covers
+whole needs no second span; one that it covers in part gets its own.
 
 Spans are in code points, ends exclusive. Defined cases: a null or empty text has no spans; repeated rows are scanned
 each; other columns are ignored; an empty table gives an empty result; long values are segmented whole.
@@ -121,7 +122,7 @@ def scan(text: str, least_guesses: float = LEAST_GUESSES) -> tuple[list[tuple[in
         taken = [(a, b) for a, _, b in base]
         for m in CONTEXT.finditer(text):
             start, end = m.span(m.lastindex)
-            if not any(a < end and start < b for a, b in taken) and guess_cost(text[start:end])[0] >= least_guesses:
+            if not any(a <= start and end <= b for a, b in taken) and guess_cost(text[start:end])[0] >= least_guesses:
                 more.append((start, 3, end))
     return base, more
 

@@ -421,6 +421,14 @@ def test_redaction(spark):
     assert out[2]["text"] == '[SECRET]" and more' and out[2]["n_chars"] == len(out[2]["text"])
 
 
+def test_values_that_a_base_span_covers_in_part_are_scored():
+    for text, rest in (('secret = "abcdefghijkl#Zq9!moreSecret" end', "#Zq9!moreSecret"), ("pwd: 'x#K9!0123456789abcdef#Zq9!' end", "x#K9!")):
+        base, more = secret_scan.scan(text)
+        assert len(base) == 1 and [text[a:b] for a, _, b in more] == [re.search("""["'](.*)["']""", text)[1]]
+        assert rest not in secret_scan.redact(text) and secret_scan.redact(text).endswith("end")
+    assert not secret_scan.scan('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"')[1]
+
+
 # Best-fit packing
 
 
