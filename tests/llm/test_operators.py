@@ -506,6 +506,15 @@ def test_what_a_host_repeats_is_removed(spark):
     assert html_extract.extracted(df.limit(0)).count() == 0
 
 
+def test_what_a_host_in_shards_repeats_is_removed(spark):
+    notice = "<div>These are the words of a notice that few pages of the host have</div>"
+    rows = [(i, f"http://h.example.org/{i}", f"<body>{notice if i % 10 == 0 else ''}<div>unique {prose(3000 + i, 12)}</div></body>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = {tuple(r) for r in html_extract.extracted(df).collect()}
+    assert len(whole) == 40 and all(r[2].startswith("unique") for r in whole)
+    assert {tuple(r) for r in html_extract.extracted(df, shard_pages=4).collect()} == whole
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=14), min_size=1, max_size=5))
 def test_recurring_runs_equal_brute_force(streams):
