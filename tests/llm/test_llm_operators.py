@@ -142,32 +142,84 @@ def test_windows_have_the_least_of_each_window():
     assert got.tolist() == [k + int(np.argmin(hashes[k : k + 46])) for k in range(400 - 45)]
 
 
-def test_passages_with_words_put_in_or_left_out_are_near():
-    numbers = lambda words: substring_dedup.brief(substring_dedup.shingle_numbers(substring_dedup.word_numbers(" ".join(words))))
-    passage = prose(40, 80).split()
-    changed = {"put in": [*passage[:40], "new", *passage[40:]], "left out": passage[:40] + passage[41:], "replaced": [*passage[:40], "new", *passage[41:]]}
-    for words in changed.values():
-        x = numbers([*prose(41, 60).split(), *words, *prose(42, 60).split()])
-        y = numbers([*prose(43, 30).split(), *passage, *prose(44, 60).split()])
-        for at in (0, 40):  # the offset before the change, and behind it
-            ((a, b),) = {(min(s), max(e)) for s, e in [zip(*substring_dedup.verified_spans(x, y, [30 + at // 40 * (len(words) - 80)]), strict=True)]}
-            assert 50 <= a <= 62 and 134 <= b <= 146
-    # every 60 words one more: the offset moves on, further than a window may
-    long = prose(45, 600).split()
-    more = [w for i, v in enumerate(long) for w in ([v, "new"] if i % 60 == 59 else [v])]
-    covered = {k for a, b in substring_dedup.verified_spans(numbers(more), numbers(long), [0]) for k in range(a, b)}
-    assert len(covered) > 560
-    assert not substring_dedup.verified_spans(numbers(prose(46, 300).split()), numbers(prose(47, 300).split()), [0, 5])
-
-
-def test_rows_keep_every_place_of_a_keys_first_text():
-    key, node, c = np.array([9, 9, 9, 9], np.uint64), np.array([1, 1, 1, 2]), np.array([3, 70, 200, 8])
-    batches = [substring_dedup.combined(key, node, c), substring_dedup.combined(key[:1], node[:1], c[:1])]
-    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["part"], r["node"], r["c"]))
-    import pyarrow as pa
+def cartesian(hashes, low, high, span):
+    """Nodes of the tree over hashes[low..high], span or more wide, by its definition."""
+    if high - low + 1 < span:
+        return []
+    c = low + int(np.argmin(hashes[low : high + 1]))
+    return [(low, c, high), *cartesian(hashes, low, c - 1, span), *cartesian(hashes, c + 1, high, span)]
+
+
+def test_compact_windows_are_the_wide_nodes_of_the_trees():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (1, 45, 46, 47, 300, 90)]
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    got = set(zip(*(x.tolist() for x in substring_dedup.compact_windows(np.concatenate(texts), owner)), strict=True))
+    starts = np.cumsum([0, *map(len, texts)])
+    assert got == {(s + max(a, c - 45), s + c, s + min(b, c + 45)) for s, t in zip(starts, texts, strict=False) for a, c, b in cartesian(t, 0, len(t) - 1, 46)}
+
+
+@given(st.lists(st.integers(0, 3), min_size=46, max_size=200))
+@settings(max_examples=60, deadline=None)
+def test_each_window_holds_a_place_of_its_least(values):
+    hashes = np.array(values, dtype=np.uint64) << np.uint64(40)
+    places = substring_dedup.places_of(hashes, np.zeros(len(values), dtype=np.int64)).tolist()
+    for k in range(len(values) - 45):
+        assert any(k <= c < k + 46 and values[c] == min(values[k : k + 46]) for c in places)
+    assert len(places) <= 2 * len(values) // 23 + 60
+
+
+def shingled(words):
+    return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+
 
-    stars = [r for b in substring_dedup._stars(iter([pa.RecordBatch.from_pylist(rows, schema=batches[0].schema)])) for r in b.to_pylist()]
-    assert {(r["node"], r["c"]) for r in stars} | {(r["pivot"], r["c"] - r["d"]) for r in stars} == {(1, 3), (1, 70), (1, 200), (2, 8)}
+def agree(p, q):
+    """Whether a window of 46 shingles of p has 40 in common with one of q that stands up to 6 places beside it, by sets."""
+    x, y = shingled(p), shingled(q)
+    return any(len(set(x[a : a + 46]) & set(y[b : b + 46])) >= 40 for a in range(len(x) - 45) for b in range(max(0, a - 6), min(len(y) - 45, a + 7)))
+
+
+def changed(words, kind, times, rng):
+    out = list(words)
+    for at in sorted((len(words) * (k + 1) // (times + 1) + rng.randrange(-3, 4) for k in range(times)), reverse=True):
+        out[at : at + (kind != "put in")] = [] if kind == "left out" else ["".join(rng.choice("bcdfg") for _ in range(9))]
+    return out
+
+
+def test_recall_of_passages_with_words_changed(spark):
+    """Of pairs of passages with one to three words replaced, put in or left out, those with windows of a likeness of 75 % are found."""
+    rng, rows, near = random.Random(5), [], {}
+    for length in (60, 80, 120):
+        for kind in ("replaced", "put in", "left out"):
+            for times in (1, 2, 3):
+                for _ in range(10):
+                    i = len(rows)
+                    p = prose(20_000 + i, length).split()
+                    q = changed(p, kind, times, rng)
+                    near[i] = (agree(p, q), length, kind, times)
+                    for k, words in enumerate((p, q)):
+                        rows.append((i + k, " ".join([*prose(50_000 + 2 * i + k, 40).split(), *words, *prose(90_000 + 2 * i + k, 40).split()])))
+    found = {(r["doc_id"] - r["doc_id"] % 2) for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    truly = {i for i, (x, *_) in near.items() if x}
+    assert len(truly) > 150 and len(found & truly) >= 0.95 * len(truly) and not found - truly, (len(found & truly), len(truly), len(near))
+    once = {i for i, x in near.items() if x[3] == 1}
+    assert once <= truly and len(found & once) >= 0.95 * len(once)
+
+
+def test_large_keys_are_split_by_content(spark, monkeypatch):
+    """Equal passages are found whole if keys of over four rows meet their first text alone and are split."""
+    passage = prose(60, 70).split()
+    texts = {i: [*prose(6100 + i % 10, 3 * (i % 7)).split(), *passage[i % 5 :], *prose(6200 + i % 8, 70).split()] for i in range(50)}
+    monkeypatch.setattr(substring_dedup, "LARGE", 4)
+    found = collections.defaultdict(set)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(4)).collect():
+        found[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    left = collections.defaultdict(set)
+    for i, w in texts.items():
+        for k in range(len(w) - 49):
+            if not found[i].issuperset(range(k, k + 50)):
+                left[tuple(w[k : k + 50])].add(i)
+    assert max(map(len, left.values())) == 1
 
 
 def test_equal_passages_beside_a_pivots_are_found(spark):
@@ -191,27 +243,19 @@ def test_equal_passages_beside_a_pivots_are_found(spark):
 def test_near_passages_beside_a_pivots_are_found(spark):
     """Variants of a passage, each with one word replaced: most aren't near to the first of them, but to another."""
     rng = random.Random(8)
-    passage, rows, at = prose(50, 60).split(), [], {}
+    passage, rows, variants = prose(50, 60).split(), [], {}
     for i in range(60):
         words = list(passage)
         words[rng.randrange(20, 40)] = prose(5100 + i, 2).replace(" ", "")
+        variants[i] = words
         rows.append((i, " ".join([*prose(5200 + i, 20 + i).split(), *words, *prose(5300 + i, 30).split()])))
-        at[i] = 20 + i
-    numbers = {i: substring_dedup.word_numbers(t) for i, t in rows}
-    node = {i: substring_dedup.node_of(w) for i, w in numbers.items()}
-    x = {i: substring_dedup.brief(substring_dedup.shingle_numbers(w)) for i, w in numbers.items()}
-    expected = {i for i in x for j in x if node[j] < node[i] and substring_dedup.verified_spans(x[i], x[j], [at[i] - at[j]])}
-    first_only = {i for i in x for j in [min(node, key=node.get)] if j != i and substring_dedup.verified_spans(x[i], x[j], [at[i] - at[j]])}
+    node = {i: substring_dedup.node_of(substring_dedup.word_numbers(t)) for i, t in rows}
+    expected = {i for i in node for j in node if node[j] < node[i] and agree(variants[i], variants[j])}
+    first_only = {i for i in node for j in [min(node, key=node.get)] if j != i and agree(variants[i], variants[j])}
     found = {r["doc_id"] for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found <= expected and len(found) >= 0.95 * len(expected) and len(first_only) < 0.7 * len(expected), (len(found), len(expected), len(first_only))
 
 
-def test_rounds_of_partners_go_on_to_the_last(spark, monkeypatch, docs):
-    whole = sorted(map(str, substring_dedup.repeated_passages(docs).collect()))
-    monkeypatch.setattr(substring_dedup, "PARTNERS_AT_FIRST", 1)
-    assert sorted(map(str, substring_dedup.repeated_passages(docs).collect())) == whole
-
-
 def test_deduplicated_texts_share_no_passage(docs, corpus):
     out = substring_dedup.deduplicated(docs)
     assert out.columns == docs.columns
