@@ -14,8 +14,10 @@ on it, and two sets differ in at least as many shingles as their bitmaps, folded
 bitmaps differ in more than linked sets may differ in doesn't link; only what is left needs the texts again.
 
 The rows of a key never become all their pairs. First each is checked against the key's least set only; linked sets are
-one component from then on. Only keys whose sets are of several components are looked at again, and there only pairs
-of different components are checked. Every link thus joins sets that are found connected, so components are exact.
+one component from then on. Only keys whose sets are of several components are looked at again: the sets of such a key, or,
+where it has over BLOCK, of each two of the blocks that it is dealt into, meet inside a task, which tests sizes, components
+and bitmaps and gives out only pairs that may link. Every link thus joins sets that are found connected, so components
+are exact.
 
 Frequent shingles are counted over all documents: a task counts its own and hands on, every two million, what it has seen twice,
 so a count is too low by one for each such part; the FREQUENT most frequent ones are known to all tasks. They change which
@@ -28,6 +30,7 @@ it is the least; other columns are ignored; an empty table gives an empty result
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import shared
 from gleanery.llm.components import components
-from gleanery.llm.shingles import mixed, shingle_set
+from gleanery.llm.shingles import mixed, shingle_sets
 
 RESULT_COLUMNS = ("doc_id", "n_shingles", "component_id")
 NUM, DEN = 75, 100
@@ -50,10 +53,19 @@ MOST_SMALL = 64
 #: Ids that may be broadcast.
 BROADCAST_IDS = 1_000_000
 #: Distinct sets that a task remembers so as not to emit a copy's keys again.
-REMEMBERED = 200_000
-SURVEY = "doc_id long, n_shingles long, node long, shingle long, times long, mark binary"
-KEYS = "part long, key long, node long, n long, pivot long, pivot_n long"
-RUNS = "key long, node long, n long, pivot long, pivot_n long"
+REMEMBERED = 100_000
+#: Shingles that a task counts at a time.
+COUNTED = 1 << 21
+#: Sets of a key that meet in one task.
+BLOCK = 1 << 11
+#: Sets of a key whose pairs are listed at once, together with those of other keys; larger keys go set by set.
+FEW = 32
+SURVEY = "size long, shingle long, times long"
+SETS = "_id long, node long, n_shingles long, mark binary, keys binary"
+KEYS = "part long, key long, node long, pivot long"
+RUNS = "key long, node long, pivot long"
+MEMBERS = "group long, node long, n long, component long, mark binary"
+PAIRS = "u long, v long"
 
 
 def overlap(a: np.ndarray | int):
@@ -132,117 +144,114 @@ def boundary(sizes: dict[int, int], list_length: float) -> int:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, size, node and bitmap of each document, and the task's counts of shingles."""
+    """The task's counts of shingles, and of sets by size; what its lists make in scans (the sum of squares) under size -1, and their
+    rows under size -2."""
     schema = shared.schema_of(SURVEY)
-
-    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, times = np.unique(np.concatenate(held), return_counts=True)
-        total = pa.array([int((times**2).sum()), int(times.sum())])
-        twice = times > 1
-        value, times = values[twice].view(np.int64), times[twice]
-        nothing = pa.nulls(len(value) + 2, pa.int64())
-        return pa.RecordBatch.from_arrays([nothing, nothing, pa.array([0, 1] + [None] * len(value), pa.int64()), pa.concat_arrays([pa.nulls(2, pa.int64()), pa.array(value)]), pa.concat_arrays([total, pa.array(times.astype(np.int64))]), pa.nulls(len(value) + 2, pa.binary())], schema=schema)
-
-    held: list[np.ndarray] = []
-    size = 0
-    for batch in shared.slices(batches, "text"):
-        ids, ns, nodes, marks = batch.column("doc_id"), [], [], []
-        for text in shared.texts_of(batch):
-            shingles = shingle_set(text)
-            ns.append(len(shingles))
-            nodes.append(node_of(shingles) if len(shingles) else None)
-            marks.append(mark_of(shingles) if len(shingles) else None)
-            held.append(shingles)
-            size += len(held[-1])
-        nothing = pa.nulls(len(ns), pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), nothing, nothing, pa.array(marks, pa.binary())], schema=schema)
-        if size > 1 << 21:
-            yield counts(held)
-            held, size = [], 0
+    sizes: Counter[int] = Counter()
+
+    def counts(held: np.ndarray) -> pa.RecordBatch:
+        held.sort()
+        first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        times = np.diff(np.append(first, len(held)))
+        sizes[-1] += int((times**2).sum())
+        sizes[-2] += len(held)
+        twice = np.flatnonzero(times > 1)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(twice), pa.int64()), pa.array(held[first[twice]].view(np.int64)), pa.array(times[twice])], schema=schema)
+
+    held, size = np.empty(COUNTED, dtype=np.uint64), 0
+    for batch in shared.slices(batches, "text", most=1 << 20):
+        for shingles in shingle_sets(shared.texts_of(batch)):
+            sizes[len(shingles)] += 1
+            start = 0
+            while start < len(shingles):
+                part = shingles[start : start + COUNTED - size]
+                held[size : size + len(part)] = part
+                start, size = start + len(part), size + len(part)
+                if size == COUNTED:
+                    yield counts(held)
+                    size = 0
     if size:
-        yield counts(held)
+        yield counts(held[:size])
+    if sizes:
+        yield pa.RecordBatch.from_arrays([pa.array(sizes.keys(), pa.int64()), pa.nulls(len(sizes), pa.int64()), pa.array(sizes.values(), pa.int64())], schema=schema)
+
+
+def _keyed(frequent: np.ndarray, small: int):
+    """SETS of the documents; bitmap and keys of sets that the task has not had."""
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, seen = shared.schema_of(SETS), set()
+        for batch in shared.slices(batches, "text", most=1 << 20):
+            rows = []
+            for id_, shingles in zip(batch.column("_id").to_pylist(), shingle_sets(shared.texts_of(batch)), strict=True):
+                node = node_of(shingles) if len(shingles) else None
+                new = len(shingles) > 2 and node not in seen
+                if new and len(seen) < REMEMBERED:
+                    seen.add(node)
+                rows.append((id_, node, len(shingles), *((mark_of(shingles), keys_of(shingles, frequent, small).tobytes()) if new else (None, None))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return keyed
 
-def combined(keys: np.ndarray, nodes: np.ndarray, ns: np.ndarray) -> tuple[np.ndarray, ...]:
+
+def combined(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
     """KEYS of the rows of a batch, combined before they are moved: a key's least node goes to the key's task, and the other
     rows, which have that node as their pivot already, anywhere. A hot key is then a row a batch in its task."""
     order = np.lexsort((nodes, keys))
-    keys, nodes, ns = keys[order], nodes[order], ns[order]
+    keys, nodes = keys[order], nodes[order]
     first = np.ones(len(keys), dtype=bool)
     first[1:] = keys[1:] != keys[:-1]
     lead = np.flatnonzero(first)[np.cumsum(first) - 1]
     part = np.where(first, keys, mixed(keys + mixed(nodes.view(np.uint64))))
-    return part.view(np.int64), keys.view(np.int64), nodes, ns, nodes[lead], ns[lead]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (part.view(np.int64), keys.view(np.int64), nodes, nodes[lead])], schema=shared.schema_of(KEYS))
 
 
-def _keyed(frequent: np.ndarray, small: int):
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, seen = shared.schema_of(KEYS), set()
-        for batch in shared.slices(batches, "text"):
-            keys, nodes, ns = [], [], []
-            for text in shared.texts_of(batch):
-                shingles = shingle_set(text)
-                if len(shingles) < 3:
-                    continue
-                node = node_of(shingles)
-                if node in seen:
-                    continue
-                if len(seen) < REMEMBERED:
-                    seen.add(node)
-                own = keys_of(shingles, frequent, small)
-                keys.append(own)
-                nodes.append(np.full(len(own), node, dtype=np.int64))
-                ns.append(np.full(len(own), len(shingles), dtype=np.int64))
-            if keys:
-                columns = combined(np.concatenate(keys), np.concatenate(nodes), np.concatenate(ns))
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), schema=schema)
-
-    return keyed
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 2048):
+            part = batch.slice(start, 2048)
+            held = part.column("keys").to_pylist()
+            lengths = [len(x) // 8 for x in held]
+            if sum(lengths):
+                yield combined(np.frombuffer(b"".join(held), np.uint64), np.repeat(part.column("node").to_numpy(), lengths))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows in order of part and node, those whose key has several nodes, with the key's least node, or with the pivot that they
-    came with; holds one row between batches."""
+    came with; holds the last key's rows between batches, a row a batch at most."""
     schema = shared.schema_of(RUNS)
-    last: tuple[int, int, int] | None = None  # the row before
-    pivot, told = (0, 0), False  # its key's least node, and whether that row has been given out
+    held = [np.zeros(0, dtype=np.int64)] * 2
+
+    def told(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keep = np.ones(len(key), dtype=bool)
+        keep[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[keep], node[keep]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        lengths = np.diff(np.append(starts, len(key)))
+        several = np.repeat(lengths > 1, lengths)
+        if several.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, node, np.repeat(node[starts], lengths))], schema=schema)
+
     for batch in batches:
-        key, node, n, came, came_n = (batch.column(c).to_numpy() for c in ("key", "node", "n", "pivot", "pivot_n"))
+        key, node, came = (batch.column(c).to_numpy() for c in ("key", "node", "pivot"))
         star = node != came
         if star.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[star]) for x in (key, node, n, came, came_n)], schema=schema)
-        key, node, n = key[~star], node[~star], n[~star]
+            yield pa.RecordBatch.from_arrays([pa.array(x[star]) for x in (key, node, came)], schema=schema)
+        key, node = (np.concatenate(x) for x in zip(held, (key[~star], node[~star]), strict=True))
         if not len(key):
             continue
-        if last is not None:
-            key, node, n = (np.concatenate([[x], y]) for x, y in zip(last, (key, node, n), strict=True))
-        keep = np.ones(len(key), dtype=bool)
-        keep[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, n = key[keep], node[keep], n[keep]
-        first = np.ones(len(key), dtype=bool)
-        first[1:] = key[1:] != key[:-1]
-        starts = np.flatnonzero(first)
-        run = np.cumsum(first) - 1
-        pivots, pivot_ns = node[starts][run], n[starts][run]
-        if last is not None:  # the first run began in an earlier batch
-            pivots[run == 0], pivot_ns[run == 0] = pivot
-        lengths = np.diff(np.append(starts, len(key)))
-        several = lengths[run] > 1
-        if last is not None and told:
-            several[run == 0] = True
-            several[0] = False  # given out before
-        is_last = run == run[-1]
-        ends = lengths[-1] > 1 or (last is not None and told and run[-1] == 0)
-        last = (int(key[-1]), int(node[-1]), int(n[-1]))
-        pivot, told = (int(pivots[-1]), int(pivot_ns[-1])), bool(ends)
-        give = several & (~is_last | ends)
-        if give.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (key, node, n, pivots, pivot_ns)], schema=schema)
+        others = np.flatnonzero(key != key[-1])
+        cut = int(others[-1]) + 1 if len(others) else 0
+        held = [key[cut:], node[cut:]]
+        if cut:
+            yield from told(key[:cut], node[:cut])
+    if len(held[0]):
+        yield from told(*held)
 
 
 def _maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose bitmaps leave it open whether they link."""
-    schema = shared.schema_of("u long, v long")
+    schema = shared.schema_of(PAIRS)
     for batch in batches:
         sizes = (batch.column("n_u").to_numpy() + batch.column("n_v").to_numpy()).tolist()
         marks = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), sizes, strict=True)
@@ -250,8 +259,100 @@ def _maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("u", "v")], schema=schema)
 
 
+def groups_of(key: int, node: int, blocks: int) -> list[int]:
+    """The groups of a set whose key is dealt into blocks: one for its block with each other, and one with itself."""
+    own = int(mixed(np.array([node]).view(np.uint64))[0] % np.uint64(blocks))
+    pairs = np.array([min(own, b) * blocks + max(own, b) + 1 for b in range(blocks)], dtype=np.uint64)
+    return mixed(np.array([key]).view(np.uint64) + mixed(pairs)).view(np.int64).tolist()
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """MEMBERS: each set in each group of each of its keys."""
+    schema = shared.schema_of(MEMBERS)
+    for batch in batches:
+        rows = []
+        for node, n, component, mark, keys in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "component", "mark", "keys")), strict=True):
+            for k in keys:
+                rows += [(g, node, n, component, mark) for g in ([k["key"]] if k["blocks"] == 1 else groups_of(k["key"], node, k["blocks"]))]
+            if len(rows) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def pairs_of(node: np.ndarray, n: np.ndarray, component: np.ndarray, marks: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one group, which come in order of size, that are of different components and may link, by sizes and bitmaps."""
+    lengths = np.array([len(m) for m in marks])
+    of_length = {int(k): np.frombuffer(b"".join(m for m in marks if len(m) == k), np.uint64).reshape(-1, k // 8) for k in np.unique(lengths)}
+    at_length = {k: np.flatnonzero(lengths == k) for k in of_length}
+    least = overlap(n)  # what a set must have at least to link to one of n
+    for i in range(1, len(node)):
+        low = int(np.searchsorted(n[:i], least[i]))
+        if low == i or (component[low:i] == component[i]).all():
+            continue
+        mark = np.frombuffer(marks[i], np.uint8)
+        for k in sorted(of_length, reverse=True):
+            at = at_length[k]
+            a, b = np.searchsorted(at, (low, i))
+            if a == b:
+                continue
+            while len(mark) > k:
+                mark = mark[: len(mark) // 2] ^ mark[len(mark) // 2 :]
+            apart = np.bitwise_count(of_length[k][a:b] ^ mark.view(np.uint64)).sum(axis=1, dtype=np.int64)
+            others = at[a:b]
+            like = others[(apart * (NUM + DEN) <= (n[others] + n[i]) * (DEN - NUM)) & (component[others] != component[i])]
+            if len(like):
+                yield np.full(len(like), node[i]), node[like]
+
+
+def pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row of groups of rows with each row before it in its group."""
+    rows = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    before = rows - np.repeat(starts, sizes)
+    i = np.repeat(rows, before)
+    return i, np.repeat(rows - before, before) + np.arange(len(i)) - np.repeat(np.cumsum(before) - before, before)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """PAIRS of the groups, which come in order of group and size; holds a group, of two blocks at most, between batches."""
+    schema = shared.schema_of(PAIRS)
+    for table in shared.whole_groups(batches, "group"):
+        group, node, n, component = (table.column(c).to_numpy() for c in ("group", "node", "n", "component"))
+        marks = table.column("mark").to_pylist()
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        ends = np.append(starts[1:], len(group))
+        few = ends - starts <= FEW
+        i, j = pairs_within(starts[few], (ends - starts)[few])
+        may = (component[i] != component[j]) & (np.minimum(n[i], n[j]) * DEN >= np.maximum(n[i], n[j]) * NUM)
+        i, j = i[may], j[may]
+        u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        order = np.lexsort((v, u))  # a pair may meet at many keys
+        order = order[np.concatenate([[True], (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])])] if len(order) else order
+        i, j, u, v = i[order], j[order], u[order], v[order]
+        lengths = np.array([len(m) for m in marks])
+        usual = (lengths[i] == LEAST_MARK // 8) & (lengths[j] == LEAST_MARK // 8)
+        like = np.zeros(len(i), dtype=bool)
+        rows = np.zeros((len(marks), LEAST_MARK // 64), dtype=np.uint64)
+        at = np.flatnonzero(lengths == LEAST_MARK // 8)
+        rows[at] = np.frombuffer(b"".join(marks[k] for k in at), np.uint64).reshape(-1, LEAST_MARK // 64)
+        for start in range(0, len(i), 1 << 14):
+            part = start + np.flatnonzero(usual[start : start + (1 << 14)])
+            apart = np.bitwise_count(rows[i[part]] ^ rows[j[part]]).sum(axis=1, dtype=np.int64)
+            like[part] = apart * (NUM + DEN) <= (n[i[part]] + n[j[part]]) * (DEN - NUM)
+        for k in np.flatnonzero(~usual).tolist():
+            like[k] = marks_apart(marks[i[k]], marks[j[k]]) * (NUM + DEN) <= int(n[i[k]] + n[j[k]]) * (DEN - NUM)
+        if like.any():
+            yield pa.RecordBatch.from_arrays([pa.array(u[like]), pa.array(v[like])], schema=schema)
+        for a, b in zip(starts[~few].tolist(), ends[~few].tolist(), strict=True):
+            if (component[a:b] != component[a]).any():
+                new = a + np.flatnonzero(np.concatenate([[True], node[a + 1 : b] != node[a : b - 1]]))
+                for x, y in pairs_of(node[new], n[new], component[new], [marks[k] for k in new]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = shared.schema_of("u long, v long")
+    schema = shared.schema_of(PAIRS)
     for batch in batches:
         x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
         good = [i for i in range(len(x)) if linked(np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64))]
@@ -261,9 +362,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = shared.schema_of("node long, shingles binary")
-    for batch in shared.slices(batches, "text"):
-        sets = [shingle_set(x) for x in shared.texts_of(batch)]
-        sets = [s for s in sets if len(s)]
+    for batch in shared.slices(batches, "text", most=1 << 20):
+        sets = [s for s in shingle_sets(shared.texts_of(batch)) if len(s)]
         yield pa.RecordBatch.from_pydict({"node": [node_of(s) for s in sets], "shingles": [s.tobytes() for s in sets]}, schema=schema)
 
 
@@ -271,9 +371,9 @@ def verified(texts: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that link. first: node, size and bitmap of each set and the _id of a document with it; only the texts of
     pairs that the bitmaps leave open are read again."""
     a, b = first.alias("a"), first.alias("b")  # the same rows by the same key, so that they are moved once
-    marked = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node"))
+    marked = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node")).where(near("a.n_shingles", "b.n_shingles"))
     marked = marked.select("u", "v", F.col("a.n_shingles").alias("n_u"), F.col("b.n_shingles").alias("n_v"), F.col("a.mark").alias("x"), F.col("b.mark").alias("y"))
-    pairs = shared.written(marked.mapInArrow(_maybe, "u long, v long"), "maybe")
+    pairs = shared.written(marked.mapInArrow(_maybe, PAIRS), "maybe")
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     ids = shared.written(first.join(nodes, "node", "left_semi").select("_id").distinct(), "verify-ids")
     chosen = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "_id", "left_semi")
@@ -281,7 +381,7 @@ def verified(texts: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
     a, b = sets.alias("a"), sets.alias("b")
     both = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node"))
     both = both.select("u", "v", F.col("a.shingles").alias("x"), F.col("b.shingles").alias("y"))
-    return shared.written(both.mapInArrow(_verified, "u long, v long"), "links")
+    return shared.written(both.mapInArrow(_verified, PAIRS), "links")
 
 
 def near(n: str, m: str) -> str:
@@ -293,40 +393,43 @@ def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each document."""
     spark = docs.sparkSession
     shared.ship(spark)
+    n_parts = 4 * shared.partitions(spark)
     texts = docs.select(shared.long_id(docs, "doc_id").alias("_id"), docs["text"].cast("string").alias("text"))
-    survey = shared.written(texts.select(F.col("_id").alias("doc_id"), "text").mapInArrow(_survey, SURVEY), "survey")
-    sets = survey.where("n_shingles is not null").select(F.col("doc_id").alias("_id"), "n_shingles", "node", "mark")
+    survey = shared.written(texts.select("text").mapInArrow(_survey, SURVEY), "survey")
     counted = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).where(f"times >= {LEAST_COUNT}")
-    frequent = np.sort(np.array([r["shingle"] for r in counted.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").collect()], dtype=np.int64).view(np.uint64))
-    sizes = {r["n_shingles"]: r["n"] for r in sets.where(f"n_shingles between 3 and {MOST_SMALL * DEN // NUM}").groupBy("n_shingles").agg(F.count(F.lit(1)).alias("n")).collect()}
-    lists = {r["node"]: r["times"] for r in survey.where("n_shingles is null and shingle is null").groupBy("node").agg(F.sum("times").alias("times")).collect()}
-    small = boundary(sizes, lists.get(0, 1) / max(1, lists.get(1, 1)))
-
-    keys = texts.select("text").mapInArrow(_keyed(frequent, small), KEYS)
-    dealt = keys.repartition(4 * shared.partitions(spark), "part").sortWithinPartitions("part", "node")
-    runs = shared.written(dealt.mapInArrow(_runs, RUNS), "runs")
-    least = F.min_by(F.struct("n_shingles", "mark"), "_id")
-    first = sets.where("node is not null").groupBy("node").agg(F.min("_id").alias("_id"), least.alias("s")).select("node", "_id", "s.n_shingles", "s.mark")
-    first = shared.written(first, "first")
-
-    stars = shared.written(runs.where("node <> pivot").where(near("n", "pivot_n")).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), "stars")
+    most = counted.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").toArrow()
+    frequent = np.sort(most.column("shingle").to_numpy().view(np.uint64))
+    sizes = {r["size"]: r["times"] for r in survey.where(f"shingle is null and (size < 0 or size between 3 and {MOST_SMALL * DEN // NUM})").groupBy("size").agg(F.sum("times").alias("times")).collect()}
+    small = boundary({a: n for a, n in sizes.items() if a > 0}, sizes.get(-1, 1) / max(1, sizes.get(-2, 1)))
+
+    sets = shared.written(texts.mapInArrow(_keyed(frequent, small), SETS), "sets")
+    keys = sets.where("length(keys) > 0").select("node", "keys").mapInArrow(_dealt, KEYS)
+    runs = shared.written(keys.repartition(n_parts, "part").sortWithinPartitions("part", "node").mapInArrow(_runs, RUNS), "runs")
+    # a pivot that is the only row of its key's task has no row of its own: all rows of the key have been tied to it before
+    nodes = runs.select("node").unionByName(runs.select(F.col("pivot").alias("node"))).distinct()
+    marked = sets.where("keys is not null").join(nodes, "node").groupBy("node").agg(F.min_by(F.struct("_id", "n_shingles", "mark"), "_id").alias("s"))
+    first = shared.written(marked.select("node", "s._id", "s.n_shingles", "s.mark"), "first")
+
+    stars = shared.written(runs.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), "stars")
     links = verified(texts, first, stars)
     groups = components(links)
 
-    labelled = shared.written(runs.select("key", "node", "n").join(groups, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")), "labelled")
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rest = shared.written(labelled.join(open_keys, "key", "left_semi"), "open")
-    left, right = (rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component"))) for s in ("u", "v"))
-    pairs = left.join(right, "key").where("node_u < node_v and component_u <> component_v").where(near("n_u", "n_v"))
-    pairs = shared.written(pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct().join(stars.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"), "pairs")
-    if pairs.limit(1).count():
+    labelled = shared.written(runs.select("key", "node").distinct().join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled")
+    open_keys = labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
+    open_keys = shared.written(open_keys.select("key", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
+    opened = labelled.join(open_keys, "key").groupBy("node", "component").agg(F.collect_list(F.struct("key", "blocks")).alias("keys"))
+    members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(_members, MEMBERS)
+    met = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(_met, PAIRS).distinct()
+    tested = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = shared.written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
         groups = components(links.unionByName(verified(texts, first, pairs)))
 
-    least = first.join(groups, "node", "left").select(F.coalesce("component", "node").alias("component"), "_id").groupBy("component").agg(F.min("_id").alias("component_id"))
-    by_node = first.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(least, "component").select("node", "component_id")
-    copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("n_copies"))
-    nodes = shared.written(by_node.join(copies, "node"), "nodes")
-    out = shared.join_groups(sets.drop("mark"), nodes, "node", "n_copies", survey.count())
+    copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("n_copies"), F.min("_id").alias("_id"))
+    labels = shared.written(copies.join(groups, "node", "left").select("node", "n_copies", "_id", F.coalesce("component", "node").alias("component")), "labels")
+    least = labels.groupBy("component").agg(F.min("_id").alias("component_id"))
+    by_node = shared.written(labels.select("node", "n_copies", "component").join(least, "component").select("node", "n_copies", "component_id"), "nodes")
+    out = shared.join_groups(sets.select("_id", "node", "n_shingles"), by_node, "node", "n_copies", sets.count())
     null = F.lit(-(2**63))
     component = F.coalesce("component_id", "_id")
     return out.select(F.when(F.col("_id") != null, F.col("_id")).alias("doc_id"), "n_shingles", F.when(component != null, component).alias("component_id"))

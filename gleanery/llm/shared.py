@@ -22,9 +22,17 @@ _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
+#: Bytes of a batch that goes to a Python worker, where the session does not say otherwise: a batch of texts is held in the JVM, in
+#: the worker's buffers and as Python strings, so that large ones cost several times their size.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers of any cluster, once for each application."""
+    """Hand this package to the Python workers of any cluster, once for each application, and keep batches small."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH) in ("64MB", f"{64 << 20}b", str(64 << 20)):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)
@@ -143,6 +151,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20,
             start = end
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of the batches, which come in order of a long column, in tables of whole groups; holds a group between batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(column).to_numpy()
+        others = (values != values[-1]).nonzero()[0]
+        cut = int(others[-1]) + 1 if len(others) else 0
+        if held and (cut or held[-1].column(column)[-1].as_py() != values[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a slice; a null is an empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

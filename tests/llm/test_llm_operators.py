@@ -249,7 +249,7 @@ def test_near_passages_beside_a_pivots_are_found(spark):
         words[rng.randrange(20, 40)] = prose(5100 + i, 2).replace(" ", "")
         variants[i] = words
         rows.append((i, " ".join([*prose(5200 + i, 20 + i).split(), *words, *prose(5300 + i, 30).split()])))
-    node = {i: substring_dedup.node_of(substring_dedup.word_numbers(t)) for i, t in rows}
+    node = {i: substring_dedup.node_of(substring_dedup.words_of_texts([t])[0]) for i, t in rows}
     expected = {i for i in node for j in node if node[j] < node[i] and agree(variants[i], variants[j])}
     first_only = {i for i in node for j in [min(node, key=node.get)] if j != i and agree(variants[i], variants[j])}
     found = {r["doc_id"] for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -342,22 +342,20 @@ def test_runs_do_not_depend_on_batches():
     import pyarrow as pa
 
     rng = random.Random(3)
-    rows = sorted((rng.randrange(12), rng.randrange(8), 5) for _ in range(80))
+    rows = sorted((rng.randrange(12), rng.randrange(8)) for _ in range(80))
     by_key = collections.defaultdict(set)
-    for k, node, _ in rows:
+    for k, node in rows:
         by_key[k].add(node)
     for step in (1, 2, 7, 80):
-        plain = [{"part": k, "key": k, "node": node, "n": n, "c": n, "pivot": node, "pivot_n": n, "pivot_c": n} for k, node, n in rows]
+        plain = [{"part": k, "key": k, "node": node, "pivot": node} for k, node in rows]
         batches = [pa.RecordBatch.from_pylist(plain[k : k + step]) for k in range(0, len(rows), step)]
         got = [(r["key"], r["node"], r["pivot"]) for b in ngram_join._runs(iter(batches)) for r in b.to_pylist()]
         assert sorted(got) == sorted((k, node, min(v)) for k, v in by_key.items() if len(v) > 1 for node in v)
-        stars = [(r["key"], r["node"], r["pivot"]) for b in substring_dedup._stars(iter(batches)) for r in b.to_pylist()]
-        assert set(stars) == {(k, node, min(v)) for k, v in by_key.items() for node in v if node != min(v)}
     # combined in batches first, every node is still tied to its key's least node, at once or by another
-    parts = [ngram_join.combined(*(np.array(x, dtype=t) for t, x in zip((np.uint64, np.int64, np.int64), ([r[0] for r in rows[i::3]], [r[1] for r in rows[i::3]], [5] * len(rows[i::3])), strict=True))) for i in range(3)]
-    moved = sorted(zip(*(np.concatenate(x).tolist() for x in zip(*parts, strict=True)), strict=True), key=lambda r: (r[0], r[2]))
+    parts = [ngram_join.combined(np.array([k for k, _ in rows[i::3]], np.uint64), np.array([n for _, n in rows[i::3]])) for i in range(3)]
+    moved = sorted((r for b in parts for r in b.to_pylist()), key=lambda r: (r["part"], r["node"]))
     ties = collections.defaultdict(list)
-    for r in (r for b in ngram_join._runs(iter([pa.RecordBatch.from_pylist([dict(zip(("part", "key", "node", "n", "pivot", "pivot_n"), m, strict=True)) for m in moved])])) for r in b.to_pylist()):
+    for r in (r for b in ngram_join._runs(iter([pa.RecordBatch.from_pylist(moved)])) for r in b.to_pylist()):
         ties[r["key"]].append((r["node"], r["pivot"]))
     for k, nodes in by_key.items():
         reached = {min(nodes)}
@@ -366,6 +364,63 @@ def test_runs_do_not_depend_on_batches():
         assert reached == nodes
 
 
+def test_members_that_may_link_are_given_out():
+    """Few or many sets of a key, in one block or several: each pair of different components that links is given out, in whatever batches."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    pool = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
+    rows, expected = [], set()
+    for g, (size, most) in enumerate([(2, 40), (5, 300), (90, 60), (40, 1200), (1, 30)]):
+        base = pool[: rng.integers(most // 2, most)]
+        sets = [np.sort(np.unique(np.concatenate([base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.2])], rng.choice(pool, 3)]))) for _ in range(size)]
+        sets.sort(key=len)
+        component = rng.integers(0, 4, size)
+        rows += [(g, 1000 * g + i, len(x), int(component[i]), ngram_join.mark_of(x)) for i, x in enumerate(sets)]
+        expected |= {(1000 * g + i, 1000 * g + j) for j in range(size) for i in range(j) if component[i] != component[j] and ngram_join.linked(sets[i], sets[j])}
+    assert expected
+    columns = ("group", "node", "n", "component", "mark")
+    for step in (1, 50, 200):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r, strict=True)) for r in rows[k : k + step]]) for k in range(0, len(rows), step)]
+        got = {(r["u"], r["v"]) for b in ngram_join._met(iter(batches)) for r in b.to_pylist()}
+        assert expected <= got and all(u // 1000 == v // 1000 for u, v in got)
+    for blocks in (2, 5):
+        groups = [set(ngram_join.groups_of(9, node, blocks)) for node in range(60)]
+        assert all(len(x) == blocks for x in groups) and all(x & y for x in groups for y in groups)
+
+
+def test_keys_in_blocks_give_the_same_components(spark, monkeypatch):
+    rng = random.Random(9)
+    base = prose(70, 120).split()
+    rows = [(i, " ".join(prose(7100 + 50 * i + k, 1) if rng.random() < 0.035 else w for k, w in enumerate(base))) for i in range(50)]
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == components_of(sets_of(rows)) and 1 < len(set(got.values())) < 50
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\x0b\x1c\xa0aAbBé𝒳\n", max_size=30), max_size=8), st.integers(1, 40))
+def test_words_have_equal_numbers_if_they_are_equal(texts, piece):
+    from gleanery.llm import shingles
+
+    lower = [[w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(t)] for t in texts]
+    usual = shingles.words_of_texts(texts)
+    assert [len(x) for x in usual] == [len(w) for w in lower]
+    number_of = {}
+    for words, numbers in zip(lower, usual, strict=True):
+        for w, x in zip(words, numbers.tolist(), strict=True):
+            assert number_of.setdefault(w, x) == x
+    assert len(set(number_of.values())) == len(number_of)
+    whole, shingles.PIECE = shingles.PIECE, piece
+    shingles._usual_powers.cache_clear()
+    try:
+        assert [x.tolist() for x in shingles.words_of_texts(texts)] == [x.tolist() for x in usual]
+    finally:
+        shingles.PIECE = whole
+        shingles._usual_powers.cache_clear()
+    assert [x.tolist() for x in shingles.shingles_of_texts(usual)] == [shingles.shingle_numbers(w).tolist() for w in usual]
+
+
 def test_one_of_each_component_stays(docs, corpus):
     expected = components_of(sets_of(corpus))
     kept = ngram_join.one_of_each(docs)
