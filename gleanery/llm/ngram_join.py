@@ -60,6 +60,9 @@ COUNTED = 1 << 21
 BLOCK = 1 << 11
 #: Sets of a key whose pairs are listed at once, together with those of other keys; larger keys go set by set.
 FEW = 32
+#: Times that bitmaps are folded for these meetings; the pairs that are given out are looked at by whole bitmaps again.
+FOLDS = 2
+LEAST_FOLDED = LEAST_MARK >> FOLDS
 SURVEY = "size long, shingle long, times long"
 SETS = "_id long, node long, n_shingles long, mark binary, keys binary"
 KEYS = "part long, key long, node long, pivot long"
@@ -87,6 +90,14 @@ def mark_of(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
 
 
+def folded(mark: bytes, times: int = FOLDS) -> bytes:
+    """The bitmap folded to half its length so many times."""
+    bits = np.frombuffer(mark, np.uint8)
+    for _ in range(times):
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits.tobytes()
+
+
 def marks_apart(x: bytes, y: bytes) -> int:
     """Bits in which two bitmaps differ, the longer one folded to the length of the other."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -272,6 +283,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for node, n, component, mark, keys in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "component", "mark", "keys")), strict=True):
+            mark = folded(mark)
             for k in keys:
                 rows += [(g, node, n, component, mark) for g in ([k["key"]] if k["blocks"] == 1 else groups_of(k["key"], node, k["blocks"]))]
             if len(rows) > 10_000:
@@ -331,11 +343,11 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order[np.concatenate([[True], (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])])] if len(order) else order
         i, j, u, v = i[order], j[order], u[order], v[order]
         lengths = np.array([len(m) for m in marks])
-        usual = (lengths[i] == LEAST_MARK // 8) & (lengths[j] == LEAST_MARK // 8)
+        usual = (lengths[i] == LEAST_FOLDED // 8) & (lengths[j] == LEAST_FOLDED // 8)
         like = np.zeros(len(i), dtype=bool)
-        rows = np.zeros((len(marks), LEAST_MARK // 64), dtype=np.uint64)
-        at = np.flatnonzero(lengths == LEAST_MARK // 8)
-        rows[at] = np.frombuffer(b"".join(marks[k] for k in at), np.uint64).reshape(-1, LEAST_MARK // 64)
+        rows = np.zeros((len(marks), LEAST_FOLDED // 64), dtype=np.uint64)
+        at = np.flatnonzero(lengths == LEAST_FOLDED // 8)
+        rows[at] = np.frombuffer(b"".join(marks[k] for k in at), np.uint64).reshape(-1, LEAST_FOLDED // 64)
         for start in range(0, len(i), 1 << 14):
             part = start + np.flatnonzero(usual[start : start + (1 << 14)])
             apart = np.bitwise_count(rows[i[part]] ^ rows[j[part]]).sum(axis=1, dtype=np.int64)
@@ -414,10 +426,16 @@ def joined(docs: DataFrame) -> DataFrame:
     links = verified(texts, first, stars)
     groups = components(links)
 
-    labelled = shared.written(runs.select("key", "node").distinct().join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled")
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    open_keys = shared.written(open_keys.select("key", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
-    opened = labelled.join(open_keys, "key").groupBy("node", "component").agg(F.collect_list(F.struct("key", "blocks")).alias("keys"))
+    # all sets of a key with one pivot have met it; what is left is pairs of the others
+    labelled = runs.distinct().join(groups, "node", "left").select("key", "node", "pivot", F.coalesce("component", "node").alias("component"))
+    labelled = shared.written(labelled, "labelled")
+    other = lambda f, c: f(F.when(F.col("node") != F.col("pivot"), F.col(c)))
+    one = F.min("pivot") == F.max("pivot")
+    of_keys = labelled.groupBy("key").agg(one.alias("one"), F.min("component").alias("a"), F.max("component").alias("b"), other(F.min, "component").alias("c"), other(F.max, "component").alias("d"), F.count(F.lit(1)).alias("n"))
+    open_keys = of_keys.where("a <> b and (not one or c <> d)")
+    open_keys = shared.written(open_keys.select("key", "one", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
+    labelled = labelled.join(open_keys, "key").where("not one or node <> pivot").select("key", "blocks", "node", "component").distinct()
+    opened = labelled.groupBy("node", "component").agg(F.collect_list(F.struct("key", "blocks")).alias("keys"))
     members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(_members, MEMBERS)
     met = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(_met, PAIRS).distinct()
     tested = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))

@@ -376,7 +376,7 @@ def test_members_that_may_link_are_given_out():
         sets = [np.sort(np.unique(np.concatenate([base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.2])], rng.choice(pool, 3)]))) for _ in range(size)]
         sets.sort(key=len)
         component = rng.integers(0, 4, size)
-        rows += [(g, 1000 * g + i, len(x), int(component[i]), ngram_join.mark_of(x)) for i, x in enumerate(sets)]
+        rows += [(g, 1000 * g + i, len(x), int(component[i]), ngram_join.folded(ngram_join.mark_of(x))) for i, x in enumerate(sets)]
         expected |= {(1000 * g + i, 1000 * g + j) for j in range(size) for i in range(j) if component[i] != component[j] and ngram_join.linked(sets[i], sets[j])}
     assert expected
     columns = ("group", "node", "n", "component", "mark")
