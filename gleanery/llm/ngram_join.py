@@ -16,7 +16,8 @@ bitmaps differ in more than linked sets may differ in doesn't link; only what is
 The rows of a key never become all their pairs. First each is checked against the key's least set only; linked sets are
 one component from then on. Only keys whose sets are of several components are looked at again: the sets of such a key, or,
 where it has over BLOCK, of each two of the blocks that it is dealt into, meet inside a task, which tests sizes, components
-and bitmaps and gives out only pairs that may link. Every link thus joins sets that are found connected, so components
+and bitmaps and gives out only pairs that may link. Before that, a set meets its likest partner alone at one in SOME of these keys,
+so that sets with many links are one component by then. Every link thus joins sets that are found connected, so components
 are exact.
 
 Frequent shingles are counted over all documents: a task counts its own and hands on, every two million, what it has seen twice,
@@ -60,8 +61,10 @@ COUNTED = 1 << 21
 BLOCK = 1 << 11
 #: Sets of a key whose pairs are listed at once, together with those of other keys; larger keys go set by set.
 FEW = 32
+#: One in so many keys is looked at first, for the likest partners.
+SOME = 8
 #: Times that bitmaps are folded for these meetings; the pairs that are given out are looked at by whole bitmaps again.
-FOLDS = 2
+FOLDS = 1
 LEAST_FOLDED = LEAST_MARK >> FOLDS
 SURVEY = "size long, shingle long, times long"
 SETS = "_id long, node long, n_shingles long, mark binary, keys binary"
@@ -293,8 +296,9 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def pairs_of(node: np.ndarray, n: np.ndarray, component: np.ndarray, marks: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of sets of one group, which come in order of size, that are of different components and may link, by sizes and bitmaps."""
+def pairs_of(node: np.ndarray, n: np.ndarray, component: np.ndarray, marks: list[bytes], likest: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one group, which come in order of size, that are of different components and may link, by sizes and bitmaps.
+    likest: of each set with smaller ones of a length of bitmap, only the pair that is."""
     lengths = np.array([len(m) for m in marks])
     of_length = {int(k): np.frombuffer(b"".join(m for m in marks if len(m) == k), np.uint64).reshape(-1, k // 8) for k in np.unique(lengths)}
     at_length = {k: np.flatnonzero(lengths == k) for k in of_length}
@@ -313,8 +317,10 @@ def pairs_of(node: np.ndarray, n: np.ndarray, component: np.ndarray, marks: list
                 mark = mark[: len(mark) // 2] ^ mark[len(mark) // 2 :]
             apart = np.bitwise_count(of_length[k][a:b] ^ mark.view(np.uint64)).sum(axis=1, dtype=np.int64)
             others = at[a:b]
-            like = others[(apart * (NUM + DEN) <= (n[others] + n[i]) * (DEN - NUM)) & (component[others] != component[i])]
+            may = (apart * (NUM + DEN) <= (n[others] + n[i]) * (DEN - NUM)) & (component[others] != component[i])
+            like = others[may]
             if len(like):
+                like = like[[np.argmin(apart[may])]] if likest else like
                 yield np.full(len(like), node[i]), node[like]
 
 
@@ -326,41 +332,55 @@ def pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     return i, np.repeat(rows - before, before) + np.arange(len(i)) - np.repeat(np.cumsum(before) - before, before)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """PAIRS of the groups, which come in order of group and size; holds a group, of two blocks at most, between batches."""
-    schema = shared.schema_of(PAIRS)
-    for table in shared.whole_groups(batches, "group"):
-        group, node, n, component = (table.column(c).to_numpy() for c in ("group", "node", "n", "component"))
-        marks = table.column("mark").to_pylist()
-        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        ends = np.append(starts[1:], len(group))
-        few = ends - starts <= FEW
-        i, j = pairs_within(starts[few], (ends - starts)[few])
-        may = (component[i] != component[j]) & (np.minimum(n[i], n[j]) * DEN >= np.maximum(n[i], n[j]) * NUM)
-        i, j = i[may], j[may]
-        u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-        order = np.lexsort((v, u))  # a pair may meet at many keys
-        order = order[np.concatenate([[True], (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])])] if len(order) else order
-        i, j, u, v = i[order], j[order], u[order], v[order]
-        lengths = np.array([len(m) for m in marks])
-        usual = (lengths[i] == LEAST_FOLDED // 8) & (lengths[j] == LEAST_FOLDED // 8)
-        like = np.zeros(len(i), dtype=bool)
-        rows = np.zeros((len(marks), LEAST_FOLDED // 64), dtype=np.uint64)
-        at = np.flatnonzero(lengths == LEAST_FOLDED // 8)
-        rows[at] = np.frombuffer(b"".join(marks[k] for k in at), np.uint64).reshape(-1, LEAST_FOLDED // 64)
-        for start in range(0, len(i), 1 << 14):
-            part = start + np.flatnonzero(usual[start : start + (1 << 14)])
-            apart = np.bitwise_count(rows[i[part]] ^ rows[j[part]]).sum(axis=1, dtype=np.int64)
-            like[part] = apart * (NUM + DEN) <= (n[i[part]] + n[j[part]]) * (DEN - NUM)
-        for k in np.flatnonzero(~usual).tolist():
-            like[k] = marks_apart(marks[i[k]], marks[j[k]]) * (NUM + DEN) <= int(n[i[k]] + n[j[k]]) * (DEN - NUM)
-        if like.any():
-            yield pa.RecordBatch.from_arrays([pa.array(u[like]), pa.array(v[like])], schema=schema)
-        for a, b in zip(starts[~few].tolist(), ends[~few].tolist(), strict=True):
-            if (component[a:b] != component[a]).any():
-                new = a + np.flatnonzero(np.concatenate([[True], node[a + 1 : b] != node[a : b - 1]]))
-                for x, y in pairs_of(node[new], n[new], component[new], [marks[k] for k in new]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
+def _met(likest: bool):
+    """PAIRS of the groups, which come in order of group and size; a group, of two blocks at most, is held between batches. likest: of
+    each set only the likest pair that a table of groups shows."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = shared.schema_of(PAIRS)
+        for table in shared.whole_groups(batches, "group"):
+            group, node, n, component = (table.column(c).to_numpy() for c in ("group", "node", "n", "component"))
+            marks = table.column("mark").to_pylist()
+            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            ends = np.append(starts[1:], len(group))
+            few = ends - starts <= FEW
+            i, j = pairs_within(starts[few], (ends - starts)[few])
+            may = (component[i] != component[j]) & (np.minimum(n[i], n[j]) * DEN >= np.maximum(n[i], n[j]) * NUM)
+            i, j = i[may], j[may]
+            u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+            order = np.lexsort((v, u))  # a pair may meet at many keys
+            order = order[np.concatenate([[True], (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])])] if len(order) else order
+            i, j, u, v = i[order], j[order], u[order], v[order]
+            apart = bits_apart(marks, i, j)
+            like = np.flatnonzero(apart * (NUM + DEN) <= (n[i] + n[j]) * (DEN - NUM))
+            if likest and len(like):
+                like = like[np.lexsort((apart[like], u[like]))]
+                like = like[np.concatenate([[True], u[like][1:] != u[like][:-1]])]
+            if len(like):
+                yield pa.RecordBatch.from_arrays([pa.array(u[like]), pa.array(v[like])], schema=schema)
+            for a, b in zip(starts[~few].tolist(), ends[~few].tolist(), strict=True):
+                if (component[a:b] != component[a]).any():
+                    new = a + np.flatnonzero(np.concatenate([[True], node[a + 1 : b] != node[a : b - 1]]))
+                    for x, y in pairs_of(node[new], n[new], component[new], [marks[k] for k in new], likest):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
+
+    return met
+
+
+def bits_apart(marks: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which the folded bitmaps of each pair differ; those of the usual length all at once."""
+    lengths = np.array([len(m) for m in marks])
+    usual = lengths == LEAST_FOLDED // 8
+    rows = np.zeros((len(marks), LEAST_FOLDED // 64), dtype=np.uint64)
+    rows[usual] = np.frombuffer(b"".join(m for m in marks if len(m) == LEAST_FOLDED // 8), np.uint64).reshape(-1, LEAST_FOLDED // 64)
+    out = np.zeros(len(i), dtype=np.int64)
+    both = usual[i] & usual[j]
+    for start in range(0, len(i), 1 << 14):
+        part = start + np.flatnonzero(both[start : start + (1 << 14)])
+        out[part] = np.bitwise_count(rows[i[part]] ^ rows[j[part]]).sum(axis=1, dtype=np.int64)
+    for k in np.flatnonzero(~both).tolist():
+        out[k] = marks_apart(marks[i[k]], marks[j[k]])
+    return out
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,6 +416,11 @@ def verified(texts: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
     return shared.written(both.mapInArrow(_verified, PAIRS), "links")
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """rows of two or three numbers, to be broadcast if they are BROADCAST_IDS at most, else to be joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
 def near(n: str, m: str) -> str:
     """Sizes that two linked sets may have."""
     return f"least({n}, {m}) * {DEN} >= greatest({n}, {m}) * {NUM}"
@@ -419,29 +444,36 @@ def joined(docs: DataFrame) -> DataFrame:
     runs = shared.written(keys.repartition(n_parts, "part").sortWithinPartitions("part", "node").mapInArrow(_runs, RUNS), "runs")
     # a pivot that is the only row of its key's task has no row of its own: all rows of the key have been tied to it before
     nodes = runs.select("node").unionByName(runs.select(F.col("pivot").alias("node"))).distinct()
-    marked = sets.where("keys is not null").join(nodes, "node").groupBy("node").agg(F.min_by(F.struct("_id", "n_shingles", "mark"), "_id").alias("s"))
+    nodes = shared.written(nodes, "nodes-in-runs")
+    marked = sets.where("keys is not null").join(bounded(nodes), "node", "left_semi").groupBy("node").agg(F.min_by(F.struct("_id", "n_shingles", "mark"), "_id").alias("s"))
     first = shared.written(marked.select("node", "s._id", "s.n_shingles", "s.mark"), "first")
 
     stars = shared.written(runs.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), "stars")
     links = verified(texts, first, stars)
-    groups = components(links)
-
-    # all sets of a key with one pivot have met it; what is left is pairs of the others
-    labelled = runs.distinct().join(groups, "node", "left").select("key", "node", "pivot", F.coalesce("component", "node").alias("component"))
-    labelled = shared.written(labelled, "labelled")
-    other = lambda f, c: f(F.when(F.col("node") != F.col("pivot"), F.col(c)))
-    one = F.min("pivot") == F.max("pivot")
-    of_keys = labelled.groupBy("key").agg(one.alias("one"), F.min("component").alias("a"), F.max("component").alias("b"), other(F.min, "component").alias("c"), other(F.max, "component").alias("d"), F.count(F.lit(1)).alias("n"))
-    open_keys = of_keys.where("a <> b and (not one or c <> d)")
-    open_keys = shared.written(open_keys.select("key", "one", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
-    labelled = labelled.join(open_keys, "key").where("not one or node <> pivot").select("key", "blocks", "node", "component").distinct()
-    opened = labelled.groupBy("node", "component").agg(F.collect_list(F.struct("key", "blocks")).alias("keys"))
-    members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(_members, MEMBERS)
-    met = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(_met, PAIRS).distinct()
+    groups = shared.written(components(links), "groups")
+
+    def met(runs: DataFrame, groups: DataFrame, tested: DataFrame, likest: bool) -> DataFrame:
+        """Pairs that may link, of sets of different components that share a key; not those that were tested."""
+        # all sets of a key with one pivot have met it; what is left is pairs of the others
+        labelled = runs.join(bounded(groups), "node", "left").select("key", "node", "pivot", F.coalesce("component", "node").alias("component"))
+        labelled = shared.written(labelled, "labelled")
+        other = lambda f, c: f(F.when(F.col("node") != F.col("pivot"), F.col(c)))
+        one = F.min("pivot") == F.max("pivot")
+        of_keys = labelled.groupBy("key").agg(one.alias("one"), F.min("component").alias("a"), F.max("component").alias("b"), other(F.min, "component").alias("c"), other(F.max, "component").alias("d"), F.count(F.lit(1)).alias("n"))
+        open_keys = of_keys.where("a <> b and (not one or c <> d)")
+        open_keys = shared.written(open_keys.select("key", "one", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
+        opened = labelled.join(bounded(open_keys), "key").where("not one or node <> pivot").groupBy("node", "component").agg(F.collect_set(F.struct("key", "blocks")).alias("keys"))
+        members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(_members, MEMBERS)
+        pairs = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(_met(likest), PAIRS).distinct()
+        return shared.written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+
     tested = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = shared.written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        groups = components(links.unionByName(verified(texts, first, pairs)))
+    for rows, likest in ((runs.where(F.pmod("key", F.lit(SOME)) == 0), True), (runs, False)):
+        pairs = met(rows, groups, tested, likest)
+        if not pairs.isEmpty():
+            links = links.unionByName(verified(texts, first, pairs))
+            groups = shared.written(components(links), "groups")
+            tested = tested.unionByName(pairs)
 
     copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("n_copies"), F.min("_id").alias("_id"))
     labels = shared.written(copies.join(groups, "node", "left").select("node", "n_copies", "_id", F.coalesce("component", "node").alias("component")), "labels")

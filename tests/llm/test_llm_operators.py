@@ -382,7 +382,7 @@ def test_members_that_may_link_are_given_out():
     columns = ("group", "node", "n", "component", "mark")
     for step in (1, 50, 200):
         batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r, strict=True)) for r in rows[k : k + step]]) for k in range(0, len(rows), step)]
-        got = {(r["u"], r["v"]) for b in ngram_join._met(iter(batches)) for r in b.to_pylist()}
+        got = {(r["u"], r["v"]) for b in ngram_join._met(False)(iter(batches)) for r in b.to_pylist()}
         assert expected <= got and all(u // 1000 == v // 1000 for u, v in got)
     for blocks in (2, 5):
         groups = [set(ngram_join.groups_of(9, node, blocks)) for node in range(60)]
