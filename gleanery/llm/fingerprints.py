@@ -113,7 +113,8 @@ def colliding(docs: DataFrame, members: DataFrame, n_members: int) -> DataFrame:
     """
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     ids = members.select("doc_id").distinct()
-    chosen = texts.join(F.broadcast(ids) if n_members <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    ids = ids.withColumnRenamed("doc_id", "_member")
+    chosen = texts.join(F.broadcast(ids) if n_members <= BROADCAST_IDS else ids, texts["doc_id"].eqNullSafe(ids["_member"]), "left_semi")
     forms = chosen.select("text").mapInArrow(_canonical_forms, CANONICAL)
     return forms.groupBy("digest").agg(F.min("canonical").alias("least"), F.max("canonical").alias("greatest")).where("least <> greatest").select("digest")
 

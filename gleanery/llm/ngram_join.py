@@ -283,17 +283,22 @@ def groups_of(key: int, node: int, blocks: int) -> list[int]:
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """MEMBERS: each set in each group of each of its keys."""
     schema = shared.schema_of(MEMBERS)
-    for batch in batches:
-        rows = []
-        for node, n, component, mark, keys in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "component", "mark", "keys")), strict=True):
-            mark = folded(mark)
-            for k in keys:
-                rows += [(g, node, n, component, mark) for g in ([k["key"]] if k["blocks"] == 1 else groups_of(k["key"], node, k["blocks"]))]
-            if len(rows) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            lengths = np.diff(batch.column("keys").offsets.to_numpy())
+            key, blocks = (batch.column("keys").flatten().field(c).to_numpy() for c in ("key", "blocks"))
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            group = [key[blocks == 1]]
+            rows = [row[blocks == 1]]
+            node = batch.column("node").to_numpy()
+            for k in np.flatnonzero(blocks > 1).tolist():
+                group.append(np.array(groups_of(int(key[k]), int(node[row[k]]), int(blocks[k])), dtype=np.int64))
+                rows.append(np.full(len(group[-1]), row[k]))
+            group, taken = np.concatenate(group), pa.array(np.concatenate(rows))
+            marks = pa.array([folded(m) for m in batch.column("mark").to_pylist()], pa.binary())
+            columns = [pa.array(group), *(batch.column(c).take(taken) for c in ("node", "n", "component")), marks.take(taken)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def pairs_of(node: np.ndarray, n: np.ndarray, component: np.ndarray, marks: list[bytes], likest: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -2,7 +2,8 @@
 
 The fixed patterns find assigned tokens, access keys and hexadecimal strings. Besides these, a value that stands behind a
 credential word is segmented into dictionary words, dates, repeats, sequences, keyboard walks and brute-force spans so
-that the guesses it takes are fewest; if even these are many, the value is a secret. A value that a fixed pattern's span covers
+that the guesses it takes are fewest; if even these are many, the value is a secret. Behind "is" an unquoted value of letters
+alone is a word of prose and isn't asked. A value that a fixed pattern's span covers
 whole needs no second span; one that it covers in part gets its own.
 
 Spans are in code points, ends exclusive. Defined cases: a null or empty text has no spans; repeated rows are scanned
@@ -34,6 +35,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 # Words before a credential's value, and what stands between.
 CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|credentials?|(?:access|auth|client|private|secret)[_-](?:key|token|secret))["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,}))""", re.I | re.A)
+#: What follows "is" without quotes and is letters alone, with the marks that end a clause, is prose and no value.
+PROSE, ASSIGNED = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*[.!?:)…]*"), re.compile(r"[:=]")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "api", "credential", "_key", "-key", "_token", "-token", "_secret", "-secret")
 #: log10 of the guesses from which a value in context is a secret.
 LEAST_GUESSES = 8.0
@@ -58,16 +61,25 @@ _NEAR = {pair for row in KEYBOARD for a, b in zip(row, row[1:], strict=False) fo
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d", re.A)
 
 
-def _run(text: str, start: int, follows) -> int:
-    end = start + 1
-    while end < len(text) and follows(text[end - 1], text[end]):
-        end += 1
-    return end
+#: Kinds of runs: name, whether b follows a, and log10 of the guesses for a run of one character.
+_RUNS = (("repeat", lambda a, b: a == b, 1.0), ("sequence", lambda a, b: abs(ord(b) - ord(a)) == 1, 1.2), ("walk", lambda a, b: (a, b) in _NEAR, 1.6))
 
 
-def segments(value: str, start: int) -> Iterator[tuple[int, float, str]]:
-    """End, log10 of the guesses, and kind of each segment from start; a brute-force span is one character at a time."""
-    low = value.lower()
+def run_ends(low: str) -> list[list[int]]:
+    """For each kind of run and each start, where the run ends; one pass from the end for each kind."""
+    out = []
+    for _, follows, _ in _RUNS:
+        ends = list(range(1, len(low) + 1))
+        for i in range(len(low) - 2, -1, -1):
+            if follows(low[i], low[i + 1]):
+                ends[i] = ends[i + 1]
+        out.append(ends)
+    return out
+
+
+def segments(value: str, start: int, low: str, ends: list[list[int]]) -> Iterator[tuple[int, float, str]]:
+    """End, log10 of the guesses, and kind of each segment from start; a brute-force span is one character at a time. low: the value
+    in lower case, character by character; ends: its run_ends."""
     yield start + 1, 1.0, "brute"
     for end in range(start + 3, min(len(value), start + _LONGEST) + 1):
         part = low[start:end]
@@ -76,8 +88,8 @@ def segments(value: str, start: int) -> Iterator[tuple[int, float, str]]:
         if rank:
             varied = math.log10(2) * ((part not in _RANK) + (value[start:end] not in (part, part.capitalize())) + (value[start:end] == part.capitalize() != part))
             yield end, math.log10(rank + 1) + varied, "word"
-    for kind, follows, base in (("repeat", lambda a, b: a == b, 1.0), ("sequence", lambda a, b: abs(ord(b) - ord(a)) == 1, 1.2), ("walk", lambda a, b: (a, b) in _NEAR, 1.6)):
-        end = _run(low, start, follows)
+    for (kind, _, base), of_kind in zip(_RUNS, ends, strict=True):
+        end = of_kind[start]
         if end - start >= 3:
             yield end, base + math.log10(end - start), kind
     if date := _DATE.match(value, start):
@@ -89,8 +101,10 @@ def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     n = len(value)
     best: list[float] = [0.0] + [math.inf] * n
     came: list[tuple[int, str]] = [(0, "")] * (n + 1)
+    low = "".join(x if len(x) == 1 else c for c in value for x in [c.lower()])
+    ends = run_ends(low)
     for start in range(n):
-        for end, cost, kind in segments(value, start):
+        for end, cost, kind in segments(value, start, low, ends):
             # each further segment multiplies the orders in which they may be tried; brute force goes on at no such cost
             order = 0.0 if kind == "brute" and came[start][1] in ("brute", "") else 0.3
             if best[start] + cost + order < best[end]:
@@ -122,6 +136,8 @@ def scan(text: str, least_guesses: float = LEAST_GUESSES) -> tuple[list[tuple[in
         taken = [(a, b) for a, _, b in base]
         for m in CONTEXT.finditer(text):
             start, end = m.span(m.lastindex)
+            if m.lastindex == 3 and PROSE.fullmatch(text, start, end) and not ASSIGNED.search(text, m.start(), start):
+                continue
             if not any(a <= start and end <= b for a, b in taken) and guess_cost(text[start:end])[0] >= least_guesses:
                 more.append((start, 3, end))
     return base, more

@@ -6,6 +6,7 @@ import html
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -513,6 +514,46 @@ def test_guess_costs():
     assert "".join("hunter2xyz"[a:b] for a, b, _ in secret_scan.guess_cost("hunter2xyz")[1]) == "hunter2xyz"
 
 
+def cheapest(value):
+    """The least cost over all ways to cut a short value, tried one by one."""
+    low = value.lower()
+    ends = secret_scan.run_ends(low)
+
+    def best(start, before):
+        if start == len(value):
+            return 0.0
+        return min(cost + (0.0 if kind == "brute" and before in ("brute", "") else 0.3) + best(end, kind) for end, cost, kind in secret_scan.segments(value, start, low, ends))
+
+    return best(0, "")
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from(["pass", "word", "2019", "a", "Z", "#", "qwe", "111", "abc", "hello", "9"]), min_size=1, max_size=4))
+def test_costs_are_near_the_least_of_all_ways(parts):
+    value = "".join(parts)
+    # the programme keeps one way to each place, so the order's cost can differ by what one change of kind costs
+    assert cheapest(value) - 1e-9 <= secret_scan.guess_cost(value)[0] <= cheapest(value) + 0.3 + 1e-9
+
+
+def test_runs_end_where_they_do():
+    low = "aaabcdqwerty11987x"
+    for (_, follows, _), ends in zip(secret_scan._RUNS, secret_scan.run_ends(low), strict=True):
+        for i, end in enumerate(ends):
+            k = i + 1
+            while k < len(low) and follows(low[k - 1], low[k]):
+                k += 1
+            assert end == k
+
+
+def test_prose_is_no_secret_and_long_values_end():
+    for text in ("the secret is understanding", "his password is unbelievably.", "the secret is perseverance, he said", "the secret is well-being!"):
+        assert secret_scan.scan(text) == ([], [])
+    assert secret_scan.scan("the password is xK9#qLp2vT")[1] and secret_scan.scan('pwd: "gTqzvWxkPmRd"')[1]
+    began = time.perf_counter()
+    secret_scan.scan("pwd: " + "z" * 20_000)
+    assert time.perf_counter() - began < 5
+
+
 def test_redaction(spark):
     rows = [(i, t, len(t or "")) for i, t in enumerate([None, "clean text", *SECRETS])]
     out = {r["doc_id"]: r for r in secret_scan.redacted(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
