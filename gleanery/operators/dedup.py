@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.columns import spare
 from gleanery.durable import durable
 from gleanery.functions.hashing import hamming
 from gleanery.functions.vectors import cosine_distance
 from gleanery.operators.graph import connected_components
+from gleanery.operators.ranking import join_groups, rank_within
 
 #: The default thresholds of the two stages.
 HASH_DISTANCE, COSINE_DISTANCE = 10, 0.3
@@ -22,12 +24,14 @@ BANDS, BAND_BITS = 4, 16
 def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """df with is_duplicate: false for the first row of each key by the order.
 
-    The first row is a pre-aggregated minimum, joined back, so no task sorts all rows of a hot key.
+    The first row is a pre-aggregated minimum, joined back where the rows are for a hot key, so no task gets all its rows.
+    Rows without a key are copies of each other; rows that tie for the first place are all first.
     """
-    first = F.min(F.struct(*order)).alias("_first")
-    lead = df.groupBy(key).agg(first)
-    joined = df.join(lead.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined.withColumn("is_duplicate", F.struct(*order) != F.col("_first")).drop("_key", "_first")
+    group, first, size = (spare(x, df) for x in ("_key", "_first", "_size"))
+    keyed = df.withColumn(group, F.struct(key))
+    lead = keyed.groupBy(group).agg(F.min(F.struct(*order)).alias(first), F.count(F.lit(1)).alias(size))
+    joined = join_groups(keyed, lead, group, size, df.count())
+    return joined.withColumn("is_duplicate", F.struct(*order) != F.col(first)).drop(group, first, size)
 
 
 def _band_keys(h: Column, flips: int) -> Column:
@@ -88,7 +92,7 @@ def groups_larger_than_one(df: DataFrame, group: str = "group_id") -> DataFrame:
 
 def keep_rank(df: DataFrame, group: str = "group_id", size: str = "size", path: str = "path") -> DataFrame:
     """df with rank in its group: largest first, then by path; rank 0 is the one to keep."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(size), path)) - 1)
+    return rank_within(df, [group], [F.desc(size), path]).withColumn("rank", (F.col("rank") - 1).cast("int"))
 
 
 def near_duplicate_groups(df: DataFrame, hash_distance: int = HASH_DISTANCE, cosine: float = COSINE_DISTANCE, id_column: str = "id", hash_column: str = "phash", vectors=None, vector: str = "vector") -> DataFrame:

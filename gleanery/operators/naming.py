@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.columns import spare
 from gleanery.durable import durable
 from gleanery.functions import text
+from gleanery.operators.ranking import free_numbers, global_serial, rank_within
 
 #: The backup folder's name, and the names that a serial rename has given.
 BACKUP_DIR = "___!ORIGINAL_IMAGE"
@@ -21,26 +23,6 @@ def in_backup_dir(directory: Column) -> Column:
     return F.array_contains(F.split(directory, "/"), BACKUP_DIR)
 
 
-def global_serial(df: DataFrame, order: list[str], name: str = "serial") -> DataFrame:
-    """df with its place, from 1, in the order over all rows.
-
-    Rows are put in ranges, sorted and kept; the driver sums up the number of rows of each range, and a row's place is that
-    of its range plus its own in it. No single task sees all rows.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in order]
-    placed = durable(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", 33).cast("int")
-    sizes = sorted((r["p"], r["count"]) for r in placed.groupBy(part.alias("p")).count().collect())
-    before, starts = 0, []
-    for p, count in sizes:
-        starts.append((p, before))
-        before += count
-    offsets = F.create_map(*(F.lit(x) for pair in starts for x in pair)) if starts else None
-    own = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, own + (offsets[part] if starts else F.lit(0)) + 1).drop("_at")
-
-
 def serial_rename_plan(files: DataFrame) -> DataFrame:
     """files (the listing) that aren't named already and aren't backups, with serial, new_name, new_path and backup_dir.
 
@@ -56,37 +38,44 @@ def hash_rename_plan(files: DataFrame, hash_column: str = "hash", within: list[s
 
     A file that has a right name for its hash keeps it, so the plan of a renamed folder changes nothing. The others fill the
     free places by path. Extensions keep their case, and differ by it. within: further columns that names are unique in.
+    A file without a hash has no new name.
     """
-    ext = text.suffix(F.col("name"))
+    ext, at, number = (spare(x, files) for x in ("_ext", "_place", "_number"))
     h = F.col(hash_column)
     rest = F.substr(text.stem(F.col("name")), F.length(h) + 1)
     canonical = F.startswith(F.col("name"), h) & ((rest == "") | rest.rlike(r"^_duplicate(_[1-9][0-9]*)?$"))
     place = F.when(rest == "", 0).when(rest == "_duplicate", 1).otherwise(F.regexp_extract(rest, r"_duplicate_(\d+)$", 1).cast("long") + 1)
-    key = [*(within or []), hash_column, "_ext"]
-    marked = files.withColumn("_ext", ext).withColumn("_place", F.when(canonical, place))
-    taken = Window.partitionBy(*key)
-    ordered = taken.orderBy(F.col("_place").isNotNull(), "path")
-    ranked = marked.withColumn("_taken", F.array_sort(F.collect_set("_place").over(taken))).withColumn("_rank", F.row_number().over(ordered) - 1)
-    # the rank-th free place: each taken place at or below it moves it on by one
-    free = F.aggregate("_taken", F.col("_rank").cast("long"), lambda at, t: at + F.when(t <= at, 1).otherwise(0))
-    placed = ranked.withColumn("_place", F.coalesce("_place", free))
-    tail = F.when(F.col("_place") == 0, F.lit("")).when(F.col("_place") == 1, F.lit("_duplicate")).otherwise(F.concat(F.lit("_duplicate_"), (F.col("_place") - 1).cast("string")))
-    return placed.withColumn("new_name", F.concat(h, tail, "_ext")).drop("_ext", "_place", "_taken", "_rank")
+    key = [*(within or []), hash_column, ext]
+    marked = durable(files.withColumn(ext, text.suffix(F.col("name"))).withColumn(at, F.when(canonical, place).cast("long")))
+    kept = marked.where(F.col(at).isNotNull())
+    moved = free_numbers(marked.where(F.col(at).isNull()), key, ["path"], kept.select(*key, (F.col(at) + 1).alias("number")), number)
+    placed = kept.unionByName(moved.withColumn(at, F.col(number) - 1).drop(number))
+    tail = F.when(F.col(at) == 0, F.lit("")).when(F.col(at) == 1, F.lit("_duplicate")).otherwise(F.concat(F.lit("_duplicate_"), (F.col(at) - 1).cast("string")))
+    return placed.withColumn("new_name", F.concat(h, tail, ext)).drop(ext, at)
 
 
 def changed_names(plan: DataFrame) -> DataFrame:
     return plan.where("new_name <> name")
 
 
-def backup_names(plan: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """plan with backup_name: the old name, or base_1.ext, base_2.ext and so on where the backup folder has it (existing: dir, name)."""
+def backup_names(plan: DataFrame, existing: DataFrame | None = None, order: list[str] | None = None) -> DataFrame:
+    """plan with backup_name, which no file of the backup folder (existing: dir, name) and no other row of the plan has.
+
+    Of the rows with one name in a folder the first by the order (path, if there is one) keeps it, unless a file has it; the
+    others get base_1.ext, base_2.ext and so on, leaving out the numbers that files or old names of the plan have.
+    """
+    keys = ["backup_dir", "name"]
+    order = (["path"] if "path" in plan.columns else []) if order is None else order
+    kind, rank, number = (spare(x, plan) for x in ("_is_plan", "_rank", "_number"))
+    plan = durable(plan)
+    names = plan.select(*keys)
+    held = (names.where("false") if existing is None else existing.select(F.col("dir").alias(keys[0]), "name")).distinct()
+    both = plan.withColumn(kind, F.lit(1)).unionByName(held.withColumn(kind, F.lit(0)), allowMissingColumns=True)
+    ranked = rank_within(both, keys, [kind, *order], rank).where(F.col(kind) == 1).drop(kind)
     base, ext = text.stem(F.col("name")), text.suffix(F.col("name"))
-    if existing is None:
-        return plan.withColumn("backup_name", F.col("name"))
-    numbered = existing.select(F.col("dir").alias("_dir"), F.col("name").alias("_name")).distinct()
-    held = numbered.groupBy("_dir").agg(F.collect_set("_name").alias("_held"))
-    joined = plan.join(held, F.col("backup_dir") == F.col("_dir"), "left")
-    candidates = F.transform(F.sequence(F.lit(1), F.coalesce(F.size("_held"), F.lit(0)) + 1), lambda i: F.concat(base, F.lit("_"), i.cast("string"), ext))
-    free = F.filter(candidates, lambda x: ~F.coalesce(F.array_contains("_held", x), F.lit(False)))
-    clash = F.coalesce(F.array_contains("_held", F.col("name")), F.lit(False))
-    return joined.withColumn("backup_name", F.when(clash, free[0]).otherwise(F.col("name"))).drop("_dir", "_held")
+    tail = r"_([1-9][0-9]{0,17})$"
+    numbered = held.union(names).distinct().where(base.rlike(tail))
+    taken = numbered.select(keys[0], F.concat(F.regexp_replace(base, tail, ""), ext).alias("name"), F.regexp_extract(base, tail, 1).cast("long").alias("number"))
+    kept = ranked.where(F.col(rank) == 1).drop(rank).withColumn("backup_name", F.col("name"))
+    moved = free_numbers(ranked.where(F.col(rank) > 1).drop(rank), keys, order, taken, number)
+    return kept.unionByName(moved.withColumn("backup_name", F.concat(base, F.lit("_"), F.col(number).cast("string"), ext)).drop(number))

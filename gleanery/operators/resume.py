@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.columns import spare
+
 #: What a row of a classifier's run may be.
 STATUSES = ("processed", "error", "duplicate", "resumed")
 
 
 def unprocessed(df: DataFrame, prior: DataFrame, key: str, prior_key: str | None = None) -> DataFrame:
     """Rows of df whose key the prior results don't have; df keeps its duplicates and null keys."""
-    done = prior.select(F.col(prior_key or key).alias("_done")).where("_done is not null").distinct()
-    return df.join(done, F.col(key) == F.col("_done"), "left_anti")
+    name = spare("_done", df)
+    done = prior.select(F.col(prior_key or key).alias(name)).where(F.col(name).isNotNull()).distinct()
+    return df.join(done, F.col(key) == F.col(name), "left_anti")
 
 
 def mark_seen(df: DataFrame, checkpoint: DataFrame, key: str, name: str = "seen") -> DataFrame:
     """df with a flag: whether the checkpoint has the key. Rows stay."""
-    done = checkpoint.select(F.col(key).alias("_done")).where("_done is not null").distinct()
-    return df.join(done, F.col(key) == F.col("_done"), "left").withColumn(name, F.col("_done").isNotNull()).drop("_done")
+    mark = spare("_done", df)
+    done = checkpoint.select(F.col(key).alias(mark)).where(F.col(mark).isNotNull()).distinct()
+    return df.join(done, F.col(key) == F.col(mark), "left").withColumn(name, F.col(mark).isNotNull()).drop(mark)
 
 
 def status(error: Column, is_duplicate: Column, seen: Column) -> Column:

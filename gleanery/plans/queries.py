@@ -180,14 +180,18 @@ def hash_rename_plan(spark, sf_dir):
     return naming.changed_names(naming.hash_rename_plan(files)).select("doc_id", "new_name")
 
 
-@query("""SELECT doc_id, CASE WHEN held THEN lang || '_1.txt' ELSE lang || '.txt' END AS backup_name
- FROM (SELECT doc_id, lang, source IN (SELECT source FROM documents WHERE doc_id < 50) AND lang IN (SELECT lang FROM documents d2 WHERE d2.doc_id < 50 AND d2.source = d.source) AS held FROM documents d)""")
+@query("""SELECT d.doc_id, CASE WHEN d.r = 0 THEN d.lang || '.txt' ELSE d.lang || '_' || f.i || '.txt' END AS backup_name
+ FROM (SELECT doc_id, source, lang, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1 AS r FROM documents) d
+ LEFT JOIN (SELECT source, lang, i, row_number() OVER (PARTITION BY source, lang ORDER BY i) AS r
+  FROM (SELECT source, lang, unnest(range(1, 2 * (SELECT count(*) FROM documents) + 1)) AS i FROM (SELECT DISTINCT source, lang FROM documents)) n
+  WHERE NOT EXISTS (SELECT 1 FROM documents t WHERE t.source IS NOT DISTINCT FROM n.source AND t.lang IS NOT DISTINCT FROM n.lang AND t.n_chars = n.i)) f
+ ON f.source IS NOT DISTINCT FROM d.source AND f.lang IS NOT DISTINCT FROM d.lang AND f.r = d.r""")
 def backup_collisions(spark, sf_dir):
+    """Every document of a source and language has one name; the backup folder has that name with each document's length."""
     docs = table(spark, sf_dir, "documents")
-    name = F.concat("lang", F.lit(".txt"))
-    plan = docs.select("doc_id", name.alias("name"), F.col("source").alias("backup_dir"))
-    held = docs.where("doc_id < 50").select(F.col("source").alias("dir"), name.alias("name"))
-    return naming.backup_names(plan, held).select("doc_id", "backup_name")
+    plan = docs.select("doc_id", F.concat("lang", F.lit(".txt")).alias("name"), F.col("source").alias("backup_dir"))
+    held = docs.select(F.col("source").alias("dir"), F.concat("lang", F.lit("_"), F.col("n_chars").cast("string"), F.lit(".txt")).alias("name"))
+    return naming.backup_names(plan, held, ["doc_id"]).select("doc_id", "backup_name")
 
 
 # Palettes, pixels and scores
