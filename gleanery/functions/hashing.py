@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.shipping import ship
+
 
 def md5_hex(content: Column) -> Column:
     return F.md5(content.cast("binary"))
@@ -19,6 +21,8 @@ def _blake2b(contents):
 
 def blake2b_128(content: Column) -> Column:
     """16-byte BLAKE2b in hexadecimal, which the JVM has no function for."""
+    if session := SparkSession.getActiveSession():
+        ship(session)
     return F.pandas_udf(_blake2b, "string")(content.cast("binary"))
 
 

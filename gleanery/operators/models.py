@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions import pixels, text
+from gleanery.shipping import ship
 
 # Parts of labels by which a score counts, the first family before the second.
 UNSAFE_LABELS, SAFE_LABELS = ("nsfw", "porn", "sexy", "hentai"), ("safe", "normal")
@@ -79,7 +80,12 @@ def _batches(frames: Iterator[pd.DataFrame], make: Callable[[], Backend], size:
             yield backend, paths, images, failed
 
 
-def _run(frames, make, size, most_side, columns: list[str], call: Callable, on_error: str) -> Iterator[pd.DataFrame]:
+def _mapped(files: DataFrame, schema: str, columns: list[str], *how) -> DataFrame:
+    ship(files.sparkSession)
+    return files.select("path", "content").mapInPandas(lambda frames: _run(frames, columns, *how), schema)
+
+
+def _run(frames, columns: list[str], make, size, most_side, call: Callable, on_error: str) -> Iterator[pd.DataFrame]:
     import time
 
     for backend, paths, images, failed in _batches(frames, make, size, most_side):
@@ -110,7 +116,7 @@ def embed(files: DataFrame, make: Callable[[], Backend], size: int | None = None
         return lambda seconds: [(len(v), v.astype(np.float32).tolist()) for v in vectors]
 
     names = ["path", "embedding_dim", "embedding", "error"]
-    return files.select("path", "content").mapInPandas(lambda frames: _run(frames, make, size, most_side, names, results, on_error), EMBEDDINGS)
+    return _mapped(files, EMBEDDINGS, names, make, size, most_side, results, on_error)
 
 
 def classify(files: DataFrame, make: Callable[[], Backend], size: int | None = None, most_side: int = 1024, on_error: str = "row") -> DataFrame:
@@ -121,7 +127,7 @@ def classify(files: DataFrame, make: Callable[[], Backend], size: int | None = N
         return lambda seconds: [([{"label": a, "score": float(b)} for a, b in preds], seconds * 1000 / len(images)) for preds in found]
 
     names = ["path", "preds", "inference_ms", "error"]
-    return files.select("path", "content").mapInPandas(lambda frames: _run(frames, make, size, most_side, names, results, on_error), PREDICTIONS)
+    return _mapped(files, PREDICTIONS, names, make, size, most_side, results, on_error)
 
 
 def caption(files: DataFrame, make: Callable[[], Backend], prompt: str, size: int | None = 1, most_side: int = 0, lowercase: bool = False, on_error: str = "row") -> DataFrame:
@@ -133,7 +139,7 @@ def caption(files: DataFrame, make: Callable[[], Backend], prompt: str, size: in
         return lambda seconds: [(t, seconds, round(tokens / seconds, 2) if seconds > 0 else 0.0) for t, _ in found]
 
     names = ["image", "prediction", "analysis_time_sec", "tokens_per_sec", "error"]
-    raw = files.select("path", "content").mapInPandas(lambda frames: _run(frames, make, size, most_side, names, results, on_error), CAPTIONS)
+    raw = _mapped(files, CAPTIONS, names, make, size, most_side, results, on_error)
     return raw.withColumn("prediction", text.clean_text(F.col("prediction"), lowercase=lowercase))
 
 

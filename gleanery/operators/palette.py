@@ -8,7 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.columns import spare
 from gleanery.functions import pixels, text
+from gleanery.shipping import ship
 
 COLOURS = 20
 COUNTS = "filename string, r int, g int, b int, n long, error string"
@@ -31,13 +33,15 @@ def palette_counts(files: DataFrame, colours: int = COLOURS, quantizer=pixels.qu
             out = pd.DataFrame(rows, columns=["filename", "r", "g", "b", "n", "error"])
             yield out.astype({c: "Int32" for c in "rgb"} | {"n": "Int64"})
 
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(counted, COUNTS)
 
 
 def with_share(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     """counts with percent, each row's share of its key in two digits; totals are summed up before they are joined."""
-    totals = counts.groupBy(key).agg(F.sum(n).alias("_total"))
-    return counts.join(totals, key).withColumn("percent", text.percent(F.col(n), F.col("_total"))).drop("_total")
+    total = spare("_total", counts)
+    totals = counts.groupBy(key).agg(F.sum(n).alias(total))
+    return counts.join(totals, key).withColumn("percent", text.percent(F.col(n), F.col(total))).drop(total)
 
 
 def palettes(files: DataFrame, colours: int = COLOURS, quantizer=pixels.quantize) -> DataFrame:

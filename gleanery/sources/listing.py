@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gleanery.shipping import ship
+
 LISTING = "path string, name string, dir string, ext string, size bigint, ctime double"
 
 # The suffixes that each program takes.
@@ -86,6 +88,7 @@ class FileListing(DataSource):
 
 
 def listing(spark: SparkSession, path: str, recursive: bool = True, prune: tuple[str, ...] = ()) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(FileListing)
     return spark.read.format("gleanery_files").options(path=path, recursive=str(recursive).lower(), prune=",".join(prune)).load()
 
@@ -139,7 +142,10 @@ def parse_suffixes(text: str) -> tuple[str, ...]:
 
 
 def read_bytes(files: DataFrame) -> DataFrame:
-    """files with content and error; the bytes are read where they are used, a file at a time."""
+    """files with content and error; the bytes are read where they are used, a file at a time.
+
+    The listing of a folder is one partition, so its rows are dealt out before their bytes are read.
+    """
     columns = files.columns
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,8 +163,10 @@ def read_bytes(files: DataFrame) -> DataFrame:
                         errors.append(str(e))
                 yield part[columns].assign(content=contents, error=errors)
 
+    spark = files.sparkSession
+    ship(spark)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema)
-    return files.mapInPandas(read, f"{fields}, content binary, error string")
+    return files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(read, f"{fields}, content binary, error string")
 
 
 def bytes_of(spark: SparkSession, path: str, suffixes: tuple[str, ...]) -> DataFrame:
@@ -188,4 +196,5 @@ def decoded_images(spark: SparkSession, path: str) -> DataFrame:
                 out.append((uri, width, height, n, array.tobytes(), None))
             yield pd.DataFrame(out, columns=["path", "width", "height", "channels", "data", "error"]).astype({c: "Int32" for c in ("width", "height", "channels")})
 
+    ship(spark)
     return rows.select("image.*").drop("mode").mapInPandas(rgb, "path string, width int, height int, channels int, data binary, error string")
