@@ -7,20 +7,18 @@ import bisect
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery import shipping
+
 #: A key is hot if it holds over one in HOT_SHARE rows, so that at most HOT_SHARE keys are hot and may be broadcast.
 HOT_SHARE = 4096
 _ROOTS: dict[str, str] = {}
-_SHIPPED: set[str] = set()
-
 
 #: Bytes of a batch that goes to a Python worker, where the session does not say otherwise: a batch of texts is held in the JVM, in
 #: the worker's buffers and as Python strings, so that large ones cost several times their size.
@@ -30,19 +28,9 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def ship(spark: SparkSession) -> None:
     """Hand this package to the Python workers of any cluster, once for each application, and keep batches small."""
-    sc = spark.sparkContext
     if spark.conf.get(_BATCH) in ("64MB", f"{64 << 20}b", str(64 << 20)):
         spark.conf.set(_BATCH, str(BATCH_BYTES))
-    if sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    package = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="gleanery-ship-")
-    archive = f"{folder}/{package.name}.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(package.rglob("*.py")):
-            z.write(p, p.relative_to(package.parent))
-    sc.addPyFile(archive)
+    shipping.ship(spark)
 
 
 def shared_root(spark: SparkSession) -> str:
