@@ -63,8 +63,11 @@ def free_numbers(rows: DataFrame, keys: list[str], order: list[str | Column], ta
     A taken number with s free ones below it stands before the (s + 1)-th row, so a row's number is its place among both.
     """
     slot, kind = spare("_slot", rows), spare("_kind", rows)
+    taken = taken.where("number >= 1")
+    if taken.isEmpty():
+        return rank_within(rows, keys, order, name)
     free = rank_within(rows, keys, order, slot).withColumn(kind, F.lit(1))
-    held = rank_within(taken.where("number >= 1").select(*keys, "number").distinct(), keys, ["number"], slot)
+    held = rank_within(taken.select(*keys, "number").distinct(), keys, ["number"], slot)
     held = held.select(*keys, (F.col("number") - F.col(slot) + 1).alias(slot), F.lit(0).alias(kind))
     both = free.unionByName(held, allowMissingColumns=True)
     return rank_within(both, keys, [slot, kind], name).where(F.col(kind) == 1).drop(slot, kind)
