@@ -6,11 +6,14 @@ the share of its words in content lines decides whether the document stays. Coun
 asked.
 
 The field is fitted by gradient steps on its log-likelihood (forward-backward) over a bounded sample of labelled documents
-(SAMPLE_DOCS of them, the ones with the smallest hash of doc_id, so the same ones at every run); the lines of a document
-take its label. Everything else covers all rows.
-
-Defined cases: a null or empty text has no words and fails; with no labelled documents of both kinds the field isn't fitted
-and the base rules alone decide; repeated rows are judged each; of several labels of a doc_id the least counts; other
+(SAMPLE_DOCS of them, the ones with the smallest hash of doc_id, so the same ones at every run; of each one row, and of long
+ones runs of lines from all over it, SAMPLE_LINES in all; what the base rules fail isn't learned from). A line of the sample takes its document's label; beside the
+documents themselves the field sees as many spliced ones, whose lines come from a kept and a rejected document in turn, so
+that it learns where labels change. Everything else covers all rows.
+
+Defined cases: a null or empty text has no words and fails; with no labelled documents of both kinds that pass the base rules the field isn't fitted
+and the base rules alone decide; repeated rows are judged each; of several labels of a doc_id the least counts, and of several
+texts of a labelled doc_id that with the least features is learned; other
 columns are ignored; an empty table gives an empty result; long texts are decoded whole.
 """
 
@@ -34,6 +37,8 @@ LEAST_WORDS = 20
 SAMPLE_DOCS = 1000
 #: Lines of a training sequence; longer documents are trained on in several.
 SEQUENCE = 48
+#: Lines of a labelled document that the field is fitted on, at most: whole sequences, evenly spread over it.
+SAMPLE_LINES = 4 * SEQUENCE
 STEPS = 40
 #: Share of the words in content lines from which a document is kept.
 CONTENT_SHARE = 0.5
@@ -76,6 +81,11 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(covered)[:-1] > 0).sum())
 
 
+def base_fails(words: list[bytes], repeated: int) -> bool:
+    """Whether a text with these words, so many of them in repeated windows, has too few words or too much repetition."""
+    return len(words) < LEAST_WORDS or 100 * repeated > 30 * len(words)
+
+
 def _bin(x: float, edges: tuple[float, ...]) -> int:
     k = 0
     for edge in edges:
@@ -147,20 +157,40 @@ class LineField:
         return out[::-1]
 
 
+def spliced(cut: list[tuple[np.ndarray, int]], seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each sequence with its label, one that goes on where it stops with lines of a sequence of the other label, and may turn
+    back once: line features and line labels."""
+    rng = np.random.default_rng(seed)
+    others = [[s for s, y in cut if y != k] for k in (0, 1)]
+    out = []
+    for s, y in cut:
+        if not others[y]:
+            continue
+        other = others[y][int(rng.integers(len(others[y])))]
+        stop, length = int(rng.integers(1, len(s) + 1)), int(rng.integers(1, len(other) + 1))
+        start = int(rng.integers(len(other) - length + 1))
+        parts = [s[:stop], other[start : start + length], s[stop:] if rng.random() < 0.5 else s[:0]]
+        labels = np.repeat([y, 1 - y, y], [len(p) for p in parts])
+        out.append((np.concatenate(parts)[:SEQUENCE], labels[:SEQUENCE]))
+    return out
+
+
 def fit(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, ridge: float = 1e-3) -> LineField:
-    """Fits the field to sequences of line features, of which all lines have the sequence's label."""
+    """Fits the field to sequences of line features, of which all lines have the sequence's label, and to splices of them."""
     cut = [(s[i : i + SEQUENCE], y) for s, y in zip(sequences, labels, strict=True) for i in range(0, len(s), SEQUENCE)]
-    n, most = len(cut), max(len(s) for s, _ in cut)
-    x = np.zeros((n, most, N_FEATURES), dtype=np.int64)
-    there = np.zeros((n, most), dtype=bool)
+    mixed = spliced(cut)
     y = np.array([y for _, y in cut])
-    for i, (s, _) in enumerate(cut):
-        x[i, : len(s)], there[i, : len(s)] = s, True
     share = np.array([(y == k).mean() for k in (0, 1)])
-    weight = (0.5 / np.maximum(share, 1e-9))[y][:, None]  # both labels count alike
+    weight = np.concatenate([(0.5 / np.maximum(share, 1e-9))[y], np.ones(len(mixed))])[:, None]  # both labels count alike
+    lines = [(s, np.full(len(s), y)) for s, y in cut] + mixed
+    n, most = len(lines), max(len(s) for s, _ in lines)
+    x = np.zeros((n, most, N_FEATURES), dtype=np.int64)
+    there = np.zeros((n, most), dtype=bool)
+    gold = np.zeros((n, most, 2))
+    for i, (s, of_lines) in enumerate(lines):
+        x[i, : len(s)], there[i, : len(s)], gold[i, : len(s)] = s, True, np.eye(2)[of_lines]
     emit, step = np.zeros((N_FEATURES, BINS, 2)), np.zeros((2, 2))
     moments = [np.zeros_like(emit) + 1e-8, np.zeros_like(step) + 1e-8]
-    gold = np.eye(2)[y]
     for _ in range(steps):
         score = emit[np.arange(N_FEATURES), x].sum(axis=2)
         forward = np.zeros((n, most, 2))
@@ -175,9 +205,9 @@ def fit(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, ridg
             after = back[:, t + 1] + score[:, t + 1]
             both = forward[:, t, :, None] + step + after[:, None, :] - total[:, None, None]
             live = (there[:, t + 1, None, None]) * weight[:, :, None]
-            d_step += (live * (gold[:, :, None] * gold[:, None, :] - np.exp(both))).sum(axis=0)
+            d_step += (live * (gold[:, t, :, None] * gold[:, t + 1, None, :] - np.exp(both))).sum(axis=0)
             back[:, t] = np.where(there[:, t + 1, None], np.logaddexp(step[:, 0] + after[:, :1], step[:, 1] + after[:, 1:]), back[:, t + 1])
-        gap = (gold[:, None, :] - np.exp(forward + back - total[:, None, None])) * there[:, :, None] * weight[:, :, None]
+        gap = (gold - np.exp(forward + back - total[:, None, None])) * there[:, :, None] * weight[:, :, None]
         d_emit = np.zeros_like(emit)
         for f in range(N_FEATURES):
             for label in (0, 1):
@@ -189,6 +219,14 @@ def fit(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, ridg
     return LineField(emit, step)
 
 
+def _spread(lines: np.ndarray, most: int = SAMPLE_LINES) -> np.ndarray:
+    """The lines, or of more than so many, sequences of them from start to end."""
+    if len(lines) <= most:
+        return lines
+    starts = np.linspace(0, len(lines) - SEQUENCE, most // SEQUENCE).astype(np.int64)
+    return lines[(starts[:, None] + np.arange(SEQUENCE)).reshape(-1)]
+
+
 def labelled_lines(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[list[np.ndarray], list[int]]:
     """Line features and label of the sampled documents; the driver gets a byte for each feature of their lines."""
     spark = docs.sparkSession
@@ -197,14 +235,20 @@ def labelled_lines(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS
     chosen = least.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = shared.schema_of("quality int, features binary")
+        schema = shared.schema_of("doc_id long, quality int, features binary")
         for batch in shared.slices(batches, "text"):
-            features = [np.array(lines_of(x)[0], dtype=np.uint8).tobytes() for x in shared.texts_of(batch)]
-            yield pa.RecordBatch.from_pydict({"quality": batch.column("quality"), "features": features}, schema=schema)
+            features = []
+            for text in shared.texts_of(batch):
+                words = words_of(text)
+                # the field isn't asked about what the base rules fail, so it learns nothing from it
+                asked = not base_fails(words, repeated_words(words))
+                features.append(_spread(np.array(lines_of(text)[0], dtype=np.uint8)).tobytes() if asked else b"")
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "features": features}, schema=schema)
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     joined = texts.join(F.broadcast(chosen.select("doc_id", F.col("quality").cast("int").alias("quality"))), "doc_id")
-    first = joined.select("quality", "text").mapInArrow(featured, "quality int, features binary").where("length(features) > 0")
+    rows = joined.select("doc_id", "quality", "text").mapInArrow(featured, "doc_id long, quality int, features binary")
+    first = rows.where("length(features) > 0").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("features").alias("features"))
     found = [(np.frombuffer(r["features"], np.uint8).reshape(-1, N_FEATURES).astype(np.int64), int(r["quality"] > 0)) for r in first.collect()]
     found.sort(key=lambda x: (x[1], x[0].tobytes()))
     return [s for s, _ in found], [y for _, y in found]
@@ -228,7 +272,7 @@ def judged(docs: DataFrame, field: LineField | None, content_share: float = CONT
                 words = words_of(text)
                 lines, counts, again = lines_of(text)
                 repeated = repeated_words(words)
-                failed = len(words) < LEAST_WORDS or 100 * repeated > 30 * len(words)
+                failed = base_fails(words, repeated)
                 rows.append([doc_id, len(words), len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), again, repeated, failed])
                 spans.append((len(features), counts))
                 features += lines
@@ -265,7 +309,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS
 
 def _keeps(text: str, field: LineField | None, content_share: float) -> bool:
     words = words_of(text)
-    if len(words) < LEAST_WORDS or 100 * repeated_words(words) > 30 * len(words):
+    if base_fails(words, repeated_words(words)):
         return False
     lines, counts, _ = lines_of(text)
     if field is None or not counts:

@@ -478,6 +478,46 @@ def test_held_out_documents_are_told_apart(spark):
     assert sum(right) / len(right) >= 0.95
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_lines_of_spliced_documents_are_told_apart(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    found = [r for r in labels.join(docs, "doc_id").where("length(trim(text)) > 0").orderBy("doc_id").collect()]
+    train, held = found[::2], found[1::2]
+    field = quality_rules.fitted(docs, spark.createDataFrame([(r["doc_id"], r["quality"], 0) for r in train], labels.schema))
+    asked = lambda words: not quality_rules.base_fails(words, quality_rules.repeated_words(words))
+    good, bad = ([r["text"] for r in held if bool(r["quality"]) == kind and asked(quality_rules.words_of(r["text"]))] for kind in (True, False))
+    rng, right, shares = random.Random(5), [], []
+    for i in range(100):
+        parts = [(rng.choice(good), 1), (rng.choice(bad), 0)][:: 1 - 2 * (i % 2)]
+        features, counts, _ = quality_rules.lines_of("\n".join(t for t, _ in parts))
+        lines = [y for t, y in parts for _ in quality_rules.lines_of(t)[0]]
+        got = field.decode(field.scores(np.array(features)).tolist())
+        right += [a == b for a, b in zip(got, lines, strict=True)]
+        shares.append(sum(n for n, y in zip(counts, got, strict=True) if y) / sum(counts))
+    assert sum(right) / len(right) >= 0.9
+    assert sum(0 < s < 1 for s in shares) >= 80
+    spliced = spark.createDataFrame([(0, good[0] + "\n" + bad[0])], "doc_id long, text string")
+    row = quality_rules.judged(spliced, field).first()
+    assert 0 < row["content_share"] < 1  # the share decides
+    assert [quality_rules.judged(spliced, field, row["content_share"] + d).first()["kept"] for d in (-0.01, 0.01)] == [not row["base_failed"], False]
+
+
+def test_the_sample_is_bounded_in_rows_and_lines(spark):
+    rows = [(i % 3, "\n".join(prose(9000 + 1000 * i + k, 9) for k in range(900 + i))) for i in range(9)]
+    docs = spark.createDataFrame([*rows, (None, "a b"), (1, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(3)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    sequences, kinds = quality_rules.labelled_lines(docs, labels)
+    assert sorted(kinds) == [0, 0, 1] and all(len(s) == quality_rules.SAMPLE_LINES for s in sequences)
+    assert len(quality_rules.labelled_lines(docs, labels, 2)[0]) == 2
+
+
+def test_splices_hold_both_labels():
+    cut = [(np.full((n, quality_rules.N_FEATURES), y), y) for n, y in ((1, 0), (5, 1), (48, 0), (3, 1))]
+    for lines, labels in quality_rules.spliced(cut):
+        assert len(lines) == len(labels) <= quality_rules.SEQUENCE and (lines[:, 0] == labels).all()
+    assert quality_rules.spliced(cut[:1]) == []
+
+
 def test_kept_documents_are_those_judged_kept(docs, spark):
     labels = spark.createDataFrame([(11 + i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
     judged = collections.Counter((r["doc_id"], r["n_words"]) for r in quality_rules.quality_rules(docs, labels).where("kept").collect())
