@@ -12,7 +12,9 @@ each; other columns are ignored; an empty table gives an empty result; long valu
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterator
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import shared
+from gleanery.llm.tokenizing import byte_symbols, tokenizer_path
 
 RESULT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long"
 KINDS = ("assign", "access", "hex", "guess")
@@ -34,33 +37,43 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 # Words before a credential's value, and what stands between.
-CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|credentials?|(?:access|auth|client|private|secret)[_-](?:key|token|secret))["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,}))""", re.I | re.A)
-#: What follows "is" without quotes and is letters alone, with the marks that end a clause, is prose and no value.
+CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code|wort)|pwd|kennwort|mot\x20de\x20passe|contrase[ñÑ]a|secret|token|api[_-]?key|credentials?|(?:access|auth|client|private|secret)[_-](?:key|token|secret))["']?(?:\x20*[:=]\x20*|\x20+(?:is|est|ist|es)\x20+)(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,}))""", re.I | re.A)
+#: What follows "is", "est", "ist" or "es" without quotes and is letters alone, with the marks that end a clause, is prose and no value.
 PROSE, ASSIGNED = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*[.!?:)…]*"), re.compile(r"[:=]")
-CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "api", "credential", "_key", "-key", "_token", "-token", "_secret", "-secret")
+CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "api", "credential", "kennwort", "contrase", "_key", "-key", "_token", "-token", "_secret", "-secret")
 #: log10 of the guesses from which a value in context is a secret.
 LEAST_GUESSES = 8.0
 
-# Common words of passwords and prose, most common first.
-WORDS = """password the and you that was for are with his they this have from one had word but not what all were when your can
-said there use each which she how their will other about out many then them these some her would make like him into time
-has look two more write see number way could people than first water been call who oil its now find long down day did get
-come made may part admin login user guest root test welcome secret token example changeme letmein default master hello
-dragon monkey shadow sunshine princess football baseball superman batman michael jordan charlie freedom whatever trustno
-love summer winter spring autumn required invalid missing expired reset change forgot enter your here none null true
-false value string field empty unknown optional hidden strong weak account security server client service public private
-key code house world place year live back give most very after thing just name good sentence man think great where help
-through much before line right too means old any same tell boy follow came want show also around form three small set""".split()
+# Common passwords and what stands for one in prose, most common first.
+WORDS = """password admin login user guest root test welcome secret token example changeme letmein default master hello dragon monkey
+shadow sunshine princess football baseball superman batman michael jordan charlie freedom whatever trustno love iloveyou summer
+winter spring autumn required invalid missing expired reset forgot none null true false value string empty unknown optional
+hidden strong weak""".split()
+#: The vocabulary whose entries are the rest of the dictionary, and the letters of a word in it.
+DICTIONARY = "byte_bpe_50k.json"
+LEAST_LETTERS, MOST_LETTERS = 3, 20
 # Rows of the keyboard.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 LEET = str.maketrans("04317$5@", "oaeltssa")
 
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-_LONGEST = max(map(len, WORDS))
 _NEAR = {pair for row in KEYBOARD for a, b in zip(row, row[1:], strict=False) for pair in ((a, b), (b, a))}
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d", re.A)
 
 
+@functools.lru_cache(maxsize=1)
+def dictionary() -> tuple[dict[str, int], frozenset[str]]:
+    """The rank of each word in lower case, and all beginnings of words from LEAST_LETTERS on."""
+    with open(tokenizer_path(DICTIONARY), encoding="utf-8") as f:
+        entries = sorted(json.load(f)["model"]["vocab"].items(), key=lambda e: e[1])
+    of_symbol = {s: i for i, s in enumerate(byte_symbols())}
+    ranks = {w: i + 1 for i, w in enumerate(WORDS)}
+    for spelled, _ in entries:
+        word = bytes(of_symbol[c] for c in spelled).decode("utf-8", "replace").strip().lower() if all(c in of_symbol for c in spelled) else ""
+        if word.isalpha() and LEAST_LETTERS <= len(word) <= MOST_LETTERS:
+            ranks.setdefault(word, len(ranks) + 1)
+    return ranks, frozenset(w[:k] for w in ranks for k in range(LEAST_LETTERS, len(w) + 1))
+
+
 #: Kinds of runs: name, whether b follows a, and log10 of the guesses for a run of one character.
 _RUNS = (("repeat", lambda a, b: a == b, 1.0), ("sequence", lambda a, b: abs(ord(b) - ord(a)) == 1, 1.2), ("walk", lambda a, b: (a, b) in _NEAR, 1.6))
 
@@ -81,12 +94,15 @@ def segments(value: str, start: int, low: str, ends: list[list[int]]) -> Iterato
     """End, log10 of the guesses, and kind of each segment from start; a brute-force span is one character at a time. low: the value
     in lower case, character by character; ends: its run_ends."""
     yield start + 1, 1.0, "brute"
-    for end in range(start + 3, min(len(value), start + _LONGEST) + 1):
+    ranks, beginnings = dictionary()
+    for end in range(start + LEAST_LETTERS, min(len(value), start + MOST_LETTERS) + 1):
         part = low[start:end]
         plain = part.translate(LEET)
-        rank = _RANK.get(part) or _RANK.get(plain)
+        if part not in beginnings and plain not in beginnings:
+            break
+        rank = ranks.get(part) or ranks.get(plain)
         if rank:
-            varied = math.log10(2) * ((part not in _RANK) + (value[start:end] not in (part, part.capitalize())) + (value[start:end] == part.capitalize() != part))
+            varied = math.log10(2) * ((part not in ranks) + (value[start:end] not in (part, part.capitalize())) + (value[start:end] == part.capitalize() != part))
             yield end, math.log10(rank + 1) + varied, "word"
     for (kind, _, base), of_kind in zip(_RUNS, ends, strict=True):
         end = of_kind[start]
@@ -96,19 +112,30 @@ def segments(value: str, start: int, low: str, ends: list[list[int]]) -> Iterato
         yield date.end(), 4.0 if date.end() - start > 4 else 2.0, "date"
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
-    """log10 of the guesses of the cheapest segmentation, and its segments with brute-force characters put together."""
+def guess_cost(value: str, enough: float = math.inf) -> tuple[float, list[tuple[int, int, str]]]:
+    """log10 of the guesses of the cheapest segmentation, and its segments with brute-force characters put together. If it is
+    found to take enough guesses or more, that number and no segments, as soon as no cheaper way leads on."""
     n = len(value)
     best: list[float] = [0.0] + [math.inf] * n
     came: list[tuple[int, str]] = [(0, "")] * (n + 1)
     low = "".join(x if len(x) == 1 else c for c in value for x in [c.lower()])
     ends = run_ends(low)
+    reach = 0  # how far a way of less than enough has come
     for start in range(n):
+        if start > reach:
+            return enough, []
+        if best[start] >= enough:
+            continue
         for end, cost, kind in segments(value, start, low, ends):
             # each further segment multiplies the orders in which they may be tried; brute force goes on at no such cost
             order = 0.0 if kind == "brute" and came[start][1] in ("brute", "") else 0.3
-            if best[start] + cost + order < best[end]:
-                best[end], came[end] = best[start] + cost + order, (start, kind)
+            ahead = best[start] + cost + order
+            if ahead < best[end]:
+                best[end], came[end] = ahead, (start, kind)
+                if end > reach and ahead < enough:
+                    reach = end
+    if best[n] >= enough:
+        return enough, []
     out: list[tuple[int, int, str]] = []
     end = n
     while end:
@@ -138,7 +165,7 @@ def scan(text: str, least_guesses: float = LEAST_GUESSES) -> tuple[list[tuple[in
             start, end = m.span(m.lastindex)
             if m.lastindex == 3 and PROSE.fullmatch(text, start, end) and not ASSIGNED.search(text, m.start(), start):
                 continue
-            if not any(a <= start and end <= b for a, b in taken) and guess_cost(text[start:end])[0] >= least_guesses:
+            if not any(a <= start and end <= b for a, b in taken) and guess_cost(text[start:end], least_guesses)[0] >= least_guesses:
                 more.append((start, 3, end))
     return base, more
 
