@@ -717,6 +717,42 @@ def test_what_a_host_in_shards_repeats_is_removed(spark):
     whole = {tuple(r) for r in html_extract.extracted(df).collect()}
     assert len(whole) == 40 and all(r[2].startswith("unique") for r in whole)
     assert {tuple(r) for r in html_extract.extracted(df, shard_pages=4).collect()} == whole
+    assert {tuple(r) for r in html_extract.extracted(df, shard_bytes=400).collect()} == whole
+
+
+def test_class_names_do_not_drop_the_article():
+    pages = [
+        "<article class=social><p>kept</article>",
+        "<main id=comments><p>kept</main>",
+        "<article><div class='article-header'><h1>kept</h1></div></article>",
+        "<article><h2 id=search>kept</h2><div class=share>gone</div></article>",
+        "<div class=header>gone</div><article><p id=menu>kept</p><div id=comments>gone</div></article>",
+        "<div class=sidebar><article class=x>gone</article></div><article>kept</article>",
+    ]
+    assert html_extract.main_texts(pages) == ["kept"] * len(pages)
+
+
+def test_deep_markup_takes_time_in_proportion():
+    began = time.perf_counter()
+    assert html_extract.main_texts(["<article>" + "<div>" * 40_000 + "x</p>" * 40_000 + "</article>"])[0].startswith("x")
+    assert time.perf_counter() - began < 20
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=40))
+def test_suffixes_are_sorted_with_their_common_prefixes(text):
+    order, common = html_extract.suffix_array(np.array(text, dtype=np.int64))
+    suffixes = [text[i:] for i in order]
+    assert suffixes == sorted(text[i:] for i in range(len(text)))
+    for a, b, k in zip(suffixes, suffixes[1:], common[1:], strict=False):
+        assert a[:k] == b[:k] and (k == len(a) or a[k] != b[k])
+
+
+def test_pages_without_an_article_element_lose_what_the_host_repeats():
+    frame = "<body><div id=a>Welcome to the {0} site of all good words here</div><div><p>{1}</p><p>{2}</p></div><div>Terms that hold for all the {0} pages of the host</div>"
+    bodies = [(prose(7000 + 2 * i, 30), prose(7001 + 2 * i, 30)) for i in range(40)]
+    got = html_extract.main_texts([frame.format("great", *b) for b in bodies])
+    assert got == ["\n\n".join(b) for b in bodies]
 
 
 @settings(max_examples=40, deadline=None)
