@@ -14,15 +14,13 @@ window agrees if AGREE of its shingles (for sets of a size that is a Jaccard sim
 within SPAN - AGREE places of the same place, and as many of a window there stand in it; words put in or left out move what
 follows by no more. The rows of a key never become pairs outside its task.
 
-In a key of up to LARGE rows, equal windows are found by their content. In one of up to PAIRED rows all rows meet; in a larger
-one near windows are found by meeting the first LEADERS texts and the NEIGHBOURS next in the order of what stands on the right of c and on its
-left, one of which an edit leaves as it is. The rows of a larger key meet its first text alone, without being moved. A row
-with a window that doesn't agree with that text gets a new key: the shingles from c to where, on the right or on the left,
-the two first differ inside such a window. Rows that share a window which the first text hasn't have such a key in common, and
-this is repeated until no key is large. Equal
-passages of MIN_WORDS words are thus found always, in whatever company, and a hot key is split by its content (but for a window
-with several equal least shingles, as in a line of one word, whose key has over LARGE rows: it may be laid upon another place
-of its like). Of texts that share a passage, the one whose number is least keeps it. Equal texts are one node; copies after the first doc_id are
+In a key, whatever its size, each row meets the rows of all texts of lesser numbers, as long as it has windows that none of
+those met before has, or a text of a still lesser number may have one. In a key of over PAIRED rows, pairs that can't agree
+aren't laid upon each other: a window that agrees leaves SLACK places open at most, so its chunks of CHUNK places do too, and
+bitmaps of chunks show at once how many places of each can't stand in the other text; of
+what they leave open, a row's places are looked for in many texts at once. The rows of a key of over LARGE rows are
+dealt into blocks by text, and each two blocks meet inside a task; what they find of a row is put together. So no size of a key
+changes what is found. Of texts that share a passage, the one whose number is least keeps it. Equal texts are one node; copies after the first doc_id are
 reported whole.
 
 Defined cases: a null or empty text, or one under MIN_WORDS words, has no passages; rows with the same doc_id are told apart
@@ -53,12 +51,19 @@ FUNCTIONS, SIDE, BESIDE = 3, 8, 2
 #: Places on each side of c that windows with c can agree with.
 REACH = SPAN - 1 + SLACK
 WIDE = 2 * REACH + 1
-#: Rows of a key that all meet each other, and that one task takes; texts and neighbours that a row meets in the latter.
-PAIRED, LARGE, LEADERS, NEIGHBOURS = 48, 4096, 8, 4
-#: Pairs that are laid upon each other at a time.
-PAIRS_AT_ONCE = 1 << 14
-#: Ids, and stretches of the first texts of large keys (some 300 bytes each), that may be broadcast.
-BROADCAST_IDS, BROADCAST_PIVOTS = 1_000_000, 50_000
+#: Rows of a key whose pairs are all laid upon each other, and that one task takes; larger keys are dealt into blocks.
+PAIRED, LARGE = 48, 8192
+#: Places of a chunk, and chunks on either side of c (the first on the left holds c).
+CHUNK = (SPAN - 2) // 4
+CHUNKS = SPAN // CHUNK
+#: Whole chunks on the left and on the right in each of the windows that hold c.
+CHUNKS_IN = [((SPAN - s) // CHUNK, s // CHUNK) for s in range(SPAN)]
+#: Pairs that are laid upon each other at a time, and that bitmaps are compared of.
+PAIRS_AT_ONCE, MARKED_AT_ONCE = 1 << 14, 1 << 18
+#: Texts that the rows of a key meet first, and at a time later on; of so many that bitmaps leave open, places are looked at.
+FIRST_MET, MOST_MET, LEAST_MARKED = 8, 512, 16
+#: Ids that may be broadcast.
+BROADCAST_IDS = 1_000_000
 REMEMBERED = 100_000
 _LOW = np.uint64((1 << 23) - 1)
 _SEEDS = np.array([0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2127599BF4325C37, 0x880355F21E6D1965], dtype=np.uint64)
@@ -67,8 +72,9 @@ TEXTS = "_id long, node long, n_words long, sequence binary, rows binary"
 ROWS = "part long, key long, node long, c long, known boolean"
 PLACES = "key long, node long, c long"
 AROUND = "group long, node long, c long, left int, around binary"
-MET = f"{AROUND}, zone long, pivot long, start long, end long"
+IN_BLOCKS = f"{AROUND}, key long"
 SPANS = "node long, pivot long, start long, end long"
+SPANS_AT = f"{SPANS}, key long, c long"
 RESULT_COLUMNS = ("doc_id", "start_word", "end_word", "other_doc_id")
 
 
@@ -299,37 +305,23 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """MET of rows of large keys that stand beside their key's first text: the span that agrees with it (with pivot), and rows with the
-    new keys. zone: how many places before c (times 256) and behind it a row's windows must hold."""
-    schema = shared.schema_of(MET)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """IN_BLOCKS of rows of large keys: each in a group for its block with each other one. The rows of a text are in one block."""
+    schema = shared.schema_of(IN_BLOCKS)
     for whole in batches:
-        for at in range(0, whole.num_rows, PAIRS_AT_ONCE // 2):
-            batch = whole.slice(at, PAIRS_AT_ONCE // 2)
-            key, node, c, zone, pivot = (batch.column(x).to_numpy() for x in ("group", "node", "c", "zone", "pivot"))
-            x, x_there = laid_out(batch.column("left").to_numpy(), batch.column("around").to_pylist())
-            y, y_there = laid_out(batch.column("pivot_left").to_numpy(), batch.column("pivot_around").to_pylist())
-            good = agreeing(x, x_there, y, y_there)
-            hit = np.flatnonzero(good.any(axis=1) & (node != pivot))
-            if len(hit):
-                start, end = interval(good[hit], c[hit])
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) if v is not None else pa.nulls(len(hit), f.type) for v, f in zip((None, node[hit], None, None, None, None, pivot[hit], start, end), schema, strict=True)], schema=schema)
-            same = (x == y) & x_there & y_there
-            open_ = (_full(x_there)[:, SLACK : SLACK + SPAN] == SPAN) & ~good
-            low, high = zone >> 8, zone & 255
-            s = np.arange(SPAN)
-            for side, onward in enumerate((slice(REACH, None), slice(REACH, None, -1))):
-                alike = np.logical_and.accumulate(same[:, onward], axis=1).sum(axis=1)  # c and what follows it that is the same
-                new_low, new_high = (low, np.maximum(high, alike)) if side == 0 else (np.maximum(low, alike), high)
-                rows = np.flatnonzero((open_ & (s >= new_high[:, None]) & (s <= SPAN - 1 - new_low[:, None])).any(axis=1))
-                if not len(rows):
-                    continue
-                content = mixed(key[rows].view(np.uint64) ^ _SEEDS[4 + side])
-                for k in range(int(alike[rows].max()) + 1):
-                    content = np.where(k <= alike[rows], mixed(content + x[:, onward][rows, k].astype(np.uint64)), content)
-                taken = pa.array(rows)
-                columns = (content.view(np.int64), node[rows], c[rows], batch.column("left").take(taken), batch.column("around").take(taken), (new_low[rows] << 8) + new_high[rows], None, None, None)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), f.type) if v is None else pa.array(v, f.type) if isinstance(v, np.ndarray) else v for v, f in zip(columns, schema, strict=True)], schema=schema)
+        counts = whole.column("blocks").to_numpy()
+        for n in np.unique(counts).tolist():
+            at = np.flatnonzero(counts == n)
+            for start in range(0, len(at), max(1, 4096 // n)):
+                batch = whole.take(pa.array(at[start : start + max(1, 4096 // n)]))
+                key, node = (batch.column(x).to_numpy().view(np.uint64) for x in ("group", "node"))
+                own = (mixed(node ^ _SEEDS[4]) % np.uint64(n)).astype(np.int64)[:, None]
+                row, other = np.nonzero(own != np.arange(n))
+                mine = own[row, 0]
+                group = mixed(key[row] + mixed((np.minimum(mine, other) * n + np.maximum(mine, other) + 1).astype(np.uint64)))
+                taken = batch.take(pa.array(row))
+                columns = [pa.array(group.view(np.int64)), *(taken.column(x) for x in ("node", "c", "left", "around", "group"))]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def agreeing(x: np.ndarray, x_there: np.ndarray, y: np.ndarray, y_there: np.ndarray) -> np.ndarray:
@@ -355,6 +347,46 @@ def _full(marks: np.ndarray) -> np.ndarray:
     return total[:, SPAN:] - total[:, :-SPAN]
 
 
+def chunk_bitmaps(x: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk (those on the left, from c on, then those on the right) and each row a bitmap of 64 bits of the places of the
+    chunk, and one of the places that these may agree with in another row."""
+    bits = np.where(there, np.uint64(1) << (x.astype(np.uint64) & np.uint64(63)), np.uint64(0))
+    firsts = [REACH + 1 - CHUNK * (k + 1) for k in range(CHUNKS)] + [REACH + 1 + CHUNK * k for k in range(CHUNKS)]
+    own = [np.bitwise_or.reduce(bits[:, a : a + CHUNK], axis=1) for a in firsts]
+    zone = [np.bitwise_or.reduce(bits[:, max(0, a - SLACK) : a + CHUNK + SLACK], axis=1) for a in firsts]
+    return np.array(own), np.array(zone)
+
+
+def may_agree(own: np.ndarray, zone: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """Which rows (own bitmaps) may have a live window that agrees with one of the others (by their zones): a bit that a chunk has and
+    the zone hasn't is a place at least that agrees with none, of which a window has SLACK at most."""
+    sides = []
+    for side in (0, CHUNKS):
+        gone = [np.zeros((own.shape[1], zone.shape[1]), dtype=np.uint8)]
+        for k in range(side, side + CHUNKS):
+            gone.append(gone[-1] + np.bitwise_count(own[k][:, None] & ~zone[k]))
+        sides.append(gone)
+    out = np.zeros((own.shape[1], zone.shape[1]), dtype=bool)
+    for a, b in dict.fromkeys(CHUNKS_IN):
+        rows = live[:, [s for s in range(SPAN) if CHUNKS_IN[s] == (a, b)]].any(axis=1)
+        if rows.any():
+            out |= (sides[0][a] + sides[1][b] <= SLACK) & rows[:, None]
+    return out
+
+
+def agree_one_way(x: np.ndarray, others: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """In which of the others (a column each) AGREE places of a live window of x stand near the same place, or may."""
+    first = SLACK + int(live[0])
+    places = slice(first, SLACK + int(live[-1]) + SPAN)
+    same = np.zeros((places.stop - first, others.shape[1]), dtype=bool)
+    for d in range(-SLACK, SLACK + 1):
+        same |= x[places, None] == others[first + d : places.stop + d]
+    total = np.zeros((len(same) + 1, others.shape[1]), dtype=np.int8)
+    np.cumsum(same, axis=0, dtype=np.int8, out=total[1:])
+    at = live - int(live[0])
+    return (total[at + SPAN] - total[at] >= AGREE).any(axis=0)
+
+
 class Group:
     """Rows around places, with what is found of each: the windows that agree with a text before, and the first such text's row."""
 
@@ -395,19 +427,27 @@ class Group:
         np.minimum.at(self.other, row[later], lead[later])
 
     def large(self, start: int, end: int) -> None:
-        """What the rows from start to end, in order of node, find among themselves, without all their pairs."""
-        node, rows = self.node[start:end], np.arange(start, end)
-        firsts = start + np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))[:LEADERS]
-        pairs = [(np.repeat(rows, len(firsts)), np.tile(firsts, len(rows)))]
-        for onward in (slice(REACH, None), slice(REACH, None, -1)):
-            content = np.ascontiguousarray(self.x[start:end, onward]).view(f"S{2 * (REACH + 1)}").reshape(-1)
-            order = start + np.argsort(content, kind="stable")
-            for k in range(1, NEIGHBOURS + 1):
-                pairs += [(order[k:], order[:-k]), (order[:-k], order[k:])]
-        i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        less = self.node[j] < self.node[i]
-        i, j = np.unique(np.stack([i[less], j[less]]), axis=1)
-        self.meet(i, j)
+        """What the rows from start to end, in order of node, find among themselves: what all their pairs would, but pairs whose
+        bitmaps leave no window open that agrees, and rows that need no further text, aren't laid upon each other."""
+        node, there = self.node[start:end], self.there[start:end]
+        full = _full(there)[:, SLACK : SLACK + SPAN] == SPAN
+        own, zone = chunk_bitmaps(self.x[start:end], there)
+        columns = np.ascontiguousarray(self.x[start:end].T)
+        at, size = 0, FIRST_MET
+        while at < end - start:
+            until = min(end - start, at + size)
+            rows = at + np.flatnonzero(node[at:] > node[at])
+            live = full[rows] & (~self.found[start + rows] | (self.other[start + rows] > start + at)[:, None])
+            rows, live = rows[live.any(axis=1)], live[live.any(axis=1)]
+            step = max(1, MARKED_AT_ONCE // (until - at))
+            for k in range(0, len(rows), step):
+                some = rows[k : k + step]
+                may = may_agree(own[:, some], zone[:, at:until], live[k : k + step]) & (node[at:until] < node[some][:, None])
+                for r in np.flatnonzero(may.sum(axis=1) >= LEAST_MARKED).tolist():
+                    may[r] &= agree_one_way(columns[:, some[r]], columns[:, at:until], np.flatnonzero(live[k + r]))
+                i, j = np.nonzero(may)
+                self.meet(start + some[i], start + at + j)
+            at, size = until, min(2 * size, MOST_MET)
 
     def small(self, sizes: np.ndarray, starts: np.ndarray) -> None:
         """All pairs of rows of groups of a size up to PAIRED."""
@@ -431,8 +471,9 @@ def interval(found: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, start + high - low + SPAN
 
 
-def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarray, around: list[bytes]) -> pa.RecordBatch | None:
-    """SPANS of whole groups, whose rows come in order of group, node and place. The windows of a row all hold c, so it has one span."""
+def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarray, around: list[bytes]) -> tuple[np.ndarray, pa.RecordBatch] | None:
+    """Which rows of whole groups, that come in order of group, node and place, have windows that a text of a lesser number has, and
+    SPANS of them. The windows of a row all hold c, so it has one span, with the least of all such texts."""
     again = np.zeros(len(group), dtype=bool)
     again[1:] = (group[1:] == group[:-1]) & (node[1:] == node[:-1]) & (c[1:] == c[:-1])
     first, several = runs_of(group, node)
@@ -454,7 +495,7 @@ def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarra
     if not len(hit):
         return None
     start, end = interval(rows.found[hit], c[hit])
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[hit], node[rows.other[hit]], start, end)], schema=shared.schema_of(SPANS))
+    return at[hit], pa.RecordBatch.from_arrays([pa.array(x) for x in (node[hit], node[rows.other[hit]], start, end)], schema=shared.schema_of(SPANS))
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,7 +503,17 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in shared.whole_groups(batches, "group"):
         found = spans_of(*(table.column(c).to_numpy() for c in ("group", "node", "c", "left")), table.column("around").to_pylist())
         if found is not None:
-            yield found
+            yield found[1]
+
+
+def _spans_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SPANS_AT of the rows of IN_BLOCKS, which come in order of group, node and place."""
+    schema = shared.schema_of(SPANS_AT)
+    for table in shared.whole_groups(batches, "group"):
+        found = spans_of(*(table.column(c).to_numpy() for c in ("group", "node", "c", "left")), table.column("around").to_pylist())
+        if found is not None:
+            rows = (pa.array(table.column(c).to_numpy()[found[0]]) for c in ("key", "c"))
+            yield pa.RecordBatch.from_arrays([*found[1].columns, *rows], schema=schema)
 
 
 def passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -487,31 +538,18 @@ def passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = texts.where("rows is not null").select("node", "rows").mapInArrow(_dealt, ROWS)
     places = shared.written(rows.repartition(n, "part").sortWithinPartitions("part", "key", "node").mapInArrow(_shared_places, PLACES), "places")
     # a key is large if it has over LARGE rows, so there are few
-    large = shared.written(places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {LARGE}").select("key"), "large-keys")
+    large = shared.written(places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {LARGE}"), "large-keys")
     n_large = large.count()
-    if not n_large:
-        spans = around(places).repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(_spans, SPANS)
-        return shared.written(spans, "spans"), texts.select("_id", "node", "n_words")
-
     few = n_large <= BROADCAST_IDS
-    usual = around(looked_up(places, large, few, "left_anti"))
-    hot = shared.written(around(looked_up(places, large, few)).withColumn("zone", F.lit(0).cast("long")), "large-rows")
-    found = []
-    while n_large:
-        first = hot.groupBy("group").agg(F.min_by(F.struct("node", "left", "around"), F.struct("node", "c")).alias("p"))
-        pivots = first.select("group", F.col("p.node").alias("pivot"), F.col("p.left").alias("pivot_left"), F.col("p.around").alias("pivot_around"))
-        met = shared.written(hot.join(F.broadcast(pivots) if n_large <= BROADCAST_PIVOTS else pivots, "group").mapInArrow(_met, MET), "met")
-        found.append(met.where("pivot is not null").select("node", "pivot", "start", "end"))
-        rows = met.where("pivot is null").select(*hot.columns)
-        several = F.min("node") != F.max("node")
-        sizes = shared.written(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), several.alias("several")).where("several").select(F.col("group").alias("key"), "n"), "sizes")
-        n_large = sizes.where(f"n > {LARGE}").count()
-        sized = looked_up(rows.withColumnRenamed("group", "key"), sizes, sizes.count() <= BROADCAST_IDS).withColumnRenamed("key", "group")
-        usual = usual.unionByName(sized.where(f"n <= {LARGE}").select("group", "node", "c", "left", "around"))
-        hot = sized.where(f"n > {LARGE}").select(*hot.columns)
+    usual = around(looked_up(places, large.select("key"), few, "left_anti") if n_large else places)
     spans = shared.written(usual.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(_spans, SPANS), "spans")
-    for more in found:
-        spans = spans.unionByName(more)
+    if n_large:
+        hot = around(looked_up(places, large.select("key"), few)).withColumnRenamed("group", "key")
+        blocks = large.select("key", F.ceil(F.col("n") * 2 / LARGE).cast("int").alias("blocks"))
+        dealt = looked_up(hot, blocks, few).withColumnRenamed("key", "group").mapInArrow(_blocks, IN_BLOCKS)
+        found = shared.written(dealt.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(_spans_at, SPANS_AT), "spans-of-blocks")
+        found = found.groupBy("key", "node", "c").agg(F.min("pivot").alias("pivot"), F.min("start").alias("start"), F.max("end").alias("end"))
+        spans = spans.unionByName(found.select("node", "pivot", "start", "end"))
     return spans, texts.select("_id", "node", "n_words")
 
 
