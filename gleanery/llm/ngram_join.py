@@ -410,15 +410,15 @@ def verified(texts: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
     a, b = first.alias("a"), first.alias("b")  # the same rows by the same key, so that they are moved once
     marked = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node")).where(near("a.n_shingles", "b.n_shingles"))
     marked = marked.select("u", "v", F.col("a.n_shingles").alias("n_u"), F.col("b.n_shingles").alias("n_v"), F.col("a.mark").alias("x"), F.col("b.mark").alias("y"))
-    pairs = shared.written(marked.mapInArrow(_maybe, PAIRS), "maybe")
+    pairs = shared.written(marked.mapInArrow(shared.lean(_maybe), PAIRS), "maybe")
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     ids = shared.written(first.join(nodes, "node", "left_semi").select("_id").distinct(), "verify-ids")
     chosen = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "_id", "left_semi")
-    sets = shared.written(chosen.select("text").mapInArrow(_sets, "node long, shingles binary"), "verify-sets")
+    sets = shared.written(chosen.select("text").mapInArrow(shared.lean(_sets), "node long, shingles binary"), "verify-sets")
     a, b = sets.alias("a"), sets.alias("b")
     both = pairs.join(a, F.col("u") == F.col("a.node")).join(b, F.col("v") == F.col("b.node"))
     both = both.select("u", "v", F.col("a.shingles").alias("x"), F.col("b.shingles").alias("y"))
-    return shared.written(both.mapInArrow(_verified, PAIRS), "links")
+    return shared.written(both.mapInArrow(shared.lean(_verified), PAIRS), "links")
 
 
 def bounded(rows: DataFrame) -> DataFrame:
@@ -437,16 +437,16 @@ def joined(docs: DataFrame) -> DataFrame:
     shared.ship(spark)
     n_parts = 4 * shared.partitions(spark)
     texts = docs.select(shared.long_id(docs, "doc_id").alias("_id"), docs["text"].cast("string").alias("text"))
-    survey = shared.written(texts.select("text").mapInArrow(_survey, SURVEY), "survey")
+    survey = shared.written(texts.select("text").mapInArrow(shared.lean(_survey), SURVEY), "survey")
     counted = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).where(f"times >= {LEAST_COUNT}")
     most = counted.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").toArrow()
     frequent = np.sort(most.column("shingle").to_numpy().view(np.uint64))
     sizes = {r["size"]: r["times"] for r in survey.where(f"shingle is null and (size < 0 or size between 3 and {MOST_SMALL * DEN // NUM})").groupBy("size").agg(F.sum("times").alias("times")).collect()}
     small = boundary({a: n for a, n in sizes.items() if a > 0}, sizes.get(-1, 1) / max(1, sizes.get(-2, 1)))
 
-    sets = shared.written(texts.mapInArrow(_keyed(frequent, small), SETS), "sets")
-    keys = sets.where("length(keys) > 0").select("node", "keys").mapInArrow(_dealt, KEYS)
-    runs = shared.written(keys.repartition(n_parts, "part").sortWithinPartitions("part", "node").mapInArrow(_runs, RUNS), "runs")
+    sets = shared.written(texts.mapInArrow(shared.lean(_keyed(frequent, small)), SETS), "sets")
+    keys = sets.where("length(keys) > 0").select("node", "keys").mapInArrow(shared.lean(_dealt), KEYS)
+    runs = shared.written(keys.repartition(n_parts, "part").sortWithinPartitions("part", "node").mapInArrow(shared.lean(_runs), RUNS), "runs")
     # a pivot that is the only row of its key's task has no row of its own: all rows of the key have been tied to it before
     nodes = runs.select("node").unionByName(runs.select(F.col("pivot").alias("node"))).distinct()
     nodes = shared.written(nodes, "nodes-in-runs")
@@ -468,8 +468,8 @@ def joined(docs: DataFrame) -> DataFrame:
         open_keys = of_keys.where("a <> b and (not one or c <> d)")
         open_keys = shared.written(open_keys.select("key", "one", F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks")), "open-keys")
         opened = labelled.join(bounded(open_keys), "key").where("not one or node <> pivot").groupBy("node", "component").agg(F.collect_set(F.struct("key", "blocks")).alias("keys"))
-        members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(_members, MEMBERS)
-        pairs = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(_met(likest), PAIRS).distinct()
+        members = opened.join(first, "node").select("node", F.col("n_shingles").alias("n"), "component", "mark", "keys").mapInArrow(shared.lean(_members), MEMBERS)
+        pairs = members.repartition(n_parts, "group").sortWithinPartitions("group", "n", "node").mapInArrow(shared.lean(_met(likest)), PAIRS).distinct()
         return shared.written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
 
     tested = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))

@@ -189,7 +189,7 @@ def secrets(docs: DataFrame, least_guesses: float = LEAST_GUESSES) -> DataFrame:
                 rows.append((doc_id, *counts, hashlib.sha256(named(base).encode()).hexdigest(), named(base + more), len(more)))
             yield pa.RecordBatch.from_pydict({f.name: [r[i] for r in rows] for i, f in enumerate(schema)}, schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(scanned, RESULT)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(shared.lean(scanned), RESULT)
 
 
 def redact(text: str, mark: str = "[SECRET]", least_guesses: float = LEAST_GUESSES) -> str:

@@ -522,7 +522,7 @@ def passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared.ship(spark)
     n = 2 * shared.partitions(spark)
     texts = docs.select(shared.long_id(docs, "doc_id").alias("_id"), docs["text"].cast("string").alias("text"))
-    texts = shared.written(texts.mapInArrow(_texts, TEXTS), "texts")
+    texts = shared.written(texts.mapInArrow(shared.lean(_texts), TEXTS), "texts")
     sequences = texts.where("sequence is not null").select("node", "sequence")
 
     def looked_up(rows: DataFrame, keys: DataFrame, few: bool, how: str = "inner") -> DataFrame:
@@ -533,21 +533,21 @@ def passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         by_node = rows.groupBy("node").agg(F.collect_set(F.struct("key", "c")).alias("places"))
         ids = rows.select("node").distinct()
         own = sequences.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "node", "left_semi").dropDuplicates(["node"])
-        return by_node.join(own, "node").select("node", "places", "sequence").mapInArrow(_around, AROUND)
+        return by_node.join(own, "node").select("node", "places", "sequence").mapInArrow(shared.lean(_around), AROUND)
 
-    rows = texts.where("rows is not null").select("node", "rows").mapInArrow(_dealt, ROWS)
-    places = shared.written(rows.repartition(n, "part").sortWithinPartitions("part", "key", "node").mapInArrow(_shared_places, PLACES), "places")
+    rows = texts.where("rows is not null").select("node", "rows").mapInArrow(shared.lean(_dealt), ROWS)
+    places = shared.written(rows.repartition(n, "part").sortWithinPartitions("part", "key", "node").mapInArrow(shared.lean(_shared_places), PLACES), "places")
     # a key is large if it has over LARGE rows, so there are few
     large = shared.written(places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {LARGE}"), "large-keys")
     n_large = large.count()
     few = n_large <= BROADCAST_IDS
     usual = around(looked_up(places, large.select("key"), few, "left_anti") if n_large else places)
-    spans = shared.written(usual.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(_spans, SPANS), "spans")
+    spans = shared.written(usual.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(shared.lean(_spans), SPANS), "spans")
     if n_large:
         hot = around(looked_up(places, large.select("key"), few)).withColumnRenamed("group", "key")
         blocks = large.select("key", F.ceil(F.col("n") * 2 / LARGE).cast("int").alias("blocks"))
-        dealt = looked_up(hot, blocks, few).withColumnRenamed("key", "group").mapInArrow(_blocks, IN_BLOCKS)
-        found = shared.written(dealt.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(_spans_at, SPANS_AT), "spans-of-blocks")
+        dealt = looked_up(hot, blocks, few).withColumnRenamed("key", "group").mapInArrow(shared.lean(_blocks), IN_BLOCKS)
+        found = shared.written(dealt.repartition(n, "group").sortWithinPartitions("group", "node", "c").mapInArrow(shared.lean(_spans_at), SPANS_AT), "spans-of-blocks")
         found = found.groupBy("key", "node", "c").agg(F.min("pivot").alias("pivot"), F.min("start").alias("start"), F.max("end").alias("end"))
         spans = spans.unionByName(found.select("node", "pivot", "start", "end"))
     return spans, texts.select("_id", "node", "n_words")

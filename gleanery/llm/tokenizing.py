@@ -110,6 +110,13 @@ def encoder(path: str) -> ByteLevelEncoder:
     return _ENCODERS[path]
 
 
+def forget() -> bool:
+    """Drop the worker's encoders with the pieces they remember; whether there were any."""
+    any_ = bool(_ENCODERS)
+    _ENCODERS.clear()
+    return any_
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
