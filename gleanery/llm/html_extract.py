@@ -1,15 +1,17 @@
 """HTML extraction: host suffix array.
 
-A page is parsed into blocks of text. Scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments are known by their elements, roles and class names; what stands in an article or main element is the article. A
-page without such an element may hold any other block, and there the host decides: the token streams of its pages are put
-together in a suffix array with common prefixes, and runs of MIN_RUN tokens or more that recur on MIN_PAGES distinct pages are
-boilerplate. A block that such runs cover is removed, and the unique runs stay. Pages with equal streams count as one, so
-mirrored pages don't remove each other. Class names never speak against an article or main element itself, nor "header" inside
+A page is parsed into blocks of text. The token streams of a host's pages, whatever they hold, are put together in a suffix array
+with common prefixes, and runs of MIN_RUN tokens or more that recur on MIN_PAGES distinct pages are boilerplate. A block that such
+runs cover is to be removed, and the unique runs stay. Pages with equal streams count as one, so mirrored pages don't remove each
+other. A check by structure follows. Scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments are known by their elements, roles and class names, and go though they be unique; what stands in an article or main element
+is the article, and stays though other articles share it. On a page without such an element, any other block goes by the array.
+Class names never speak against an article or main element itself, nor "header" inside
 one, nor ids against headings and running text.
 
 A host may hold any share of the pages. One of over SHARD_PAGES pages or SHARD_BYTES bytes is dealt into shards of about so many;
-if any of its pages is in doubt, its runs are counted over the whole host by their hashes, and each shard gets back those of its own that recur.
+each shard has its suffix array, and if any of the host's pages is in doubt, the arrays' runs are counted over the whole host by
+their hashes, and each shard gets back those of its own that recur.
 
 Defined cases: a null or empty page has an empty text; repeated rows are extracted each; a null url is a host of its own;
 other columns are ignored; an empty table gives an empty result; long pages are parsed whole.
@@ -142,13 +144,13 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    levels = [rank]
+    levels = [rank.astype(np.int32)]
     while n and int(rank.max()) + 1 < n:
         following = np.full(n, -1, dtype=np.int64)
         step = 1 << (len(levels) - 1)
         following[: n - step] = rank[step:]
         rank = np.unique(rank * (n + 2) + following + 1, return_inverse=True)[1].astype(np.int64)
-        levels.append(rank)
+        levels.append(rank.astype(np.int32))
     order = np.argsort(rank)
     common = np.zeros(n, dtype=np.int64)
     left, right = order[:-1].copy(), order[1:].copy()
@@ -161,34 +163,41 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def recurring(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each stream of tokens, which of them lie in a run of min_run tokens that recurs on min_pages distinct streams.
+def recurring(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES, runs: list[np.ndarray] | None = None, often: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each stream of tokens, which of them lie in a run of min_run tokens that recurs on min_pages distinct streams, or of which
+    it is known by its number that it does elsewhere (runs: of each stream, in order; often: those that recur).
 
     Neighbours in the suffix array of all streams together that have min_run tokens in common begin with the same run.
     """
-    n = sum(map(len, streams)) + len(streams)
+    kept: dict[bytes, int] = {}
+    same = [kept.setdefault(s.tobytes(), len(kept)) for s in streams]
+    firsts = np.unique(same, return_index=True)[1].tolist()
+    n = sum(len(streams[i]) + 1 for i in firsts)
     if not n:
         return []
     text = np.empty(n, dtype=np.int64)
     owner = np.empty(n, dtype=np.int64)
+    known = np.zeros(n, dtype=bool)
     starts, at, base = [], 0, 1 + max((int(s.max()) for s in streams if len(s)), default=0)
-    for i, s in enumerate(streams):
+    for k, i in enumerate(firsts):
+        s = streams[i]
         text[at : at + len(s)] = s
-        text[at + len(s)] = base + i  # an end that is like no other, so no run goes over from one page to the next
-        owner[at : at + len(s) + 1] = i
+        text[at + len(s)] = base + k  # an end that is like no other, so no run goes over from one page to the next
+        owner[at : at + len(s) + 1] = k
+        if often is not None:
+            known[at : at + len(runs[i])] = np.isin(runs[i], often)
         starts.append(at)
         at += len(s) + 1
     order, common = suffix_array(text)
-    kept: dict[bytes, int] = {}
-    same = np.array([kept.setdefault(s.tobytes(), i) for i, s in enumerate(streams)])
     run = np.cumsum(common < min_run) - 1
-    pages = np.bincount(np.unique(run * len(streams) + same[owner[order]]) // len(streams))
-    hits = order[pages[run] >= min_pages]
+    pages = np.bincount(np.unique(run * len(firsts) + owner[order]) // len(firsts))
+    known_runs = np.bincount(run, weights=known[order]) > 0
+    hits = order[(pages[run] >= min_pages) | known_runs[run]]
     mark = np.zeros(n + 1, dtype=np.int64)
     np.add.at(mark, hits, 1)
     np.subtract.at(mark, np.minimum(hits + min_run, n), 1)
     covered = np.cumsum(mark)[:n] > 0
-    return [covered[a : a + len(s)] for a, s in zip(starts, streams, strict=True)]
+    return [covered[starts[k] : starts[k] + len(s)] for k, s in zip(same, streams, strict=True)]
 
 
 def in_doubt(blocks: list[tuple[str, int]]) -> bool:
@@ -210,29 +219,20 @@ def runs_of(blocks: list[tuple[str, int]], min_run: int = MIN_RUN) -> tuple[np.n
 def main_texts(pages: list[str], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES, often: np.ndarray | None = None) -> list[str]:
     """The main text of each page of a shard. often: the runs that recur on the host, where the shard isn't all of it."""
     parsed = [blocks_of(p) for p in pages]
-    doubtful = [i for i, blocks in enumerate(parsed) if in_doubt(blocks)]
-    covered: dict[int, np.ndarray] = {}
-    if often is not None:
-        for i in doubtful:
-            runs = runs_of(parsed[i], min_run)[0]
-            covered[i] = np.zeros(sum(len(WORD.findall(text)) for text, _ in parsed[i]), dtype=bool)
-            for at in np.flatnonzero(np.isin(runs, often)):
-                covered[i][at : at + min_run] = True
-    elif doubtful:  # where every page has its article, no block is in doubt
-        numbers: dict[str, int] = {}
-        streams = [np.array([numbers.setdefault(w, len(numbers)) for text, _ in blocks for w in WORD.findall(text)], dtype=np.int64) for blocks in parsed]
-        covered = dict(enumerate(recurring(streams, min_run, min_pages)))
+    words = [[WORD.findall(text) for text, _ in blocks] for blocks in parsed]
+    numbers: dict[str, int] = {}
+    streams = [np.array([numbers.setdefault(w, len(numbers)) for block in page for w in block], dtype=np.int64) for page in words]
+    runs = [runs_of(blocks, min_run)[0] for blocks in parsed] if often is not None and len(often) else None
+    covered = recurring(streams, min_run, min_pages, runs, often if runs is not None else None)
     out = []
-    for i, blocks in enumerate(parsed):
-        if any(k == 2 for _, k in blocks):
-            out.append("\n\n".join(t for t, k in blocks if k == 2))
-            continue
-        kept, at = [], 0
-        for text, kind in blocks:
-            n = len(WORD.findall(text)) if i in covered else 0
-            if kind == 1 and not (n and covered[i][at : at + n].mean() >= COVERED):
-                kept.append(text)
+    for blocks, page, of_page in zip(parsed, words, covered, strict=True):
+        article, at, kept = any(k == 2 for _, k in blocks), 0, []
+        for (text, kind), block in zip(blocks, page, strict=True):
+            n = len(block)
+            recurs = n > 0 and of_page[at : at + n].mean() >= COVERED
             at += n
+            if kind == 2 or kind == 1 and not article and not recurs:
+                kept.append(text)
         out.append("\n\n".join(kept))
     return out
 

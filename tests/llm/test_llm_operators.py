@@ -720,6 +720,19 @@ def test_what_a_host_in_shards_repeats_is_removed(spark):
     assert {tuple(r) for r in html_extract.extracted(df, shard_bytes=400).collect()} == whole
 
 
+def test_every_shard_goes_by_its_suffix_array(monkeypatch):
+    """Whether pages have an article or not, and whether the host is in shards or not."""
+    made, plain = [], html_extract.suffix_array
+    monkeypatch.setattr(html_extract, "suffix_array", lambda text: made.append(len(text)) or plain(text))
+    notice = "These are the words of a notice of the host"
+    articles = [f"<article><p>{notice}</p><p>own {prose(k, 9)}</p></article>" for k in range(4)]
+    assert all(t.startswith(notice) for t in html_extract.main_texts(articles)) and len(made) == 1
+    doubtful = [f"<div>{notice}</div><p>unique {prose(20 + k, 9)}</p>" for k in range(2)]
+    often = html_extract.runs_of(html_extract.blocks_of(f"<div>{notice}</div>"))[0]
+    assert all(t.startswith(notice) for t in html_extract.main_texts(doubtful)) and len(made) == 2
+    assert all(t.startswith("unique") for t in html_extract.main_texts(doubtful, often=often)) and len(made) == 3
+
+
 def test_class_names_do_not_drop_the_article():
     pages = [
         "<article class=social><p>kept</article>",
