@@ -96,6 +96,16 @@ def test_the_automaton_accepts_what_bpe_makes(data):
     assert [automaton.labels[t] for t in automaton.path(word)] == merged(word, merges)
 
 
+def test_other_operators_forget_encoders():
+    """A worker that has encoded texts doesn't hold the pieces while it works for an operator that needs none."""
+    from gleanery.llm import shared, tokenizing
+
+    path = tokenizing.tokenizer_path("byte_bpe_50k.json")
+    tokenizing.encoder(path).encode(["some words"])
+    assert list(shared.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    assert not tokenizing._ENCODERS and tokenizing.encoder(path).encode(["some words"])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=60))
 def test_pieces_encode_as_whole_texts(text):
@@ -257,6 +267,58 @@ def test_near_passages_beside_a_pivots_are_found(spark):
     assert found <= expected and len(found) >= 0.95 * len(expected) and len(first_only) < 0.7 * len(expected), (len(found), len(expected), len(first_only))
 
 
+def variants_of_passages(n, seed):
+    """Stretches around one place: variants of a few, with numbers replaced, put in and left out."""
+    rng = np.random.default_rng(seed)
+    wide, reach = substring_dedup.WIDE, substring_dedup.REACH
+    x = rng.integers(1, 1 << 16, (5, wide)).astype(np.uint16)[rng.integers(5, size=n)]
+    for row in x:
+        for at in rng.integers(0, wide, rng.integers(0, 4)):
+            if at < reach - 8 or at > reach + 8:
+                kind = rng.integers(3)
+                if kind == 1 and at > reach:
+                    row[at + 1 :] = row[at:-1].copy()
+                elif kind == 2 and at < reach:
+                    row[:at] = row[1 : at + 1].copy()
+                row[at : at + 5] = rng.integers(1, 1 << 16, len(row[at : at + 5]))
+    there = np.ones(x.shape, dtype=bool)
+    for row in there[rng.random(n) < 0.3]:
+        row[: rng.integers(0, reach - 5)] = False
+    return np.sort(rng.integers(0, n, n)), x, there
+
+
+@pytest.mark.parametrize("n", [40, 300])
+def test_rows_of_a_key_find_what_all_pairs_do(n):
+    """Whatever the size of a key: the windows that agree with a text of a lesser number, and the least such text."""
+    for seed in range(3):
+        node, x, there = variants_of_passages(n, seed)
+        around = [r[t].tobytes() for r, t in zip(x, there, strict=True)]
+        left = there[:, : substring_dedup.REACH].sum(axis=1)
+        rows, got = substring_dedup.spans_of(np.zeros(n, dtype=np.int64), node, 1000 + np.arange(n), left, around)
+        pairs = substring_dedup.Group(node, x, there)
+        pairs.meet(*np.nonzero(node[:, None] > node))
+        hit = np.flatnonzero(pairs.found.any(axis=1))
+        start, end = substring_dedup.interval(pairs.found[hit], 1000 + hit)
+        assert rows.tolist() == hit.tolist() and len(hit) > n / 2
+        assert got.to_pydict() == {"node": node[hit].tolist(), "pivot": node[pairs.other[hit]].tolist(), "start": start.tolist(), "end": end.tolist()}
+
+
+def test_blocks_of_large_keys_find_the_same(spark, monkeypatch):
+    """Keys that are dealt into blocks give the same near passages, with the same others, as keys that one task takes."""
+    rng = random.Random(12)
+    passages, rows = [prose(77 + k, 70).split() for k in range(2)], []
+    for i in range(80):
+        words = list(passages[i % 2])
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(10, 60)] = prose(7100 + rng.randrange(20), 2).replace(" ", "")
+        rows.append((i, " ".join([*prose(7200 + i, 20 + i % 9).split(), *words, *prose(7300 + i, 30).split()])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole = {tuple(r) for r in substring_dedup.repeated_passages(docs).collect()}
+    for large in (8, 30):
+        monkeypatch.setattr(substring_dedup, "LARGE", large)
+        assert {tuple(r) for r in substring_dedup.repeated_passages(docs).collect()} == whole
+
+
 def test_deduplicated_texts_share_no_passage(docs, corpus):
     out = substring_dedup.deduplicated(docs)
     assert out.columns == docs.columns
