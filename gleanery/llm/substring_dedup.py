@@ -8,7 +8,9 @@ shingle by chance of their likeness, so several functions find nearly all.
 
 Rows of compact windows meet at a key: the least shingle and those beside it. Under the first function a row is made for the
 seven on its right and one for the seven on its left, one of which lies inside any window; under the others, one for the two on
-either side. Keys of one text alone go. What is left is joined by intervals inside each key: laid upon each other at c, two
+either side. A row is made for every place that is some window's first least, so windows that are equal have rows of the same key
+at the same place of them, however often their least shingle recurs; places in a row whose surroundings are the same, as in a
+line that is one word, have one row that stands for all of them. Keys of one text alone go. What is left is joined by intervals inside each key: laid upon each other at c, two
 compact windows and what stands around them show at once which of the windows that hold c agree, so no text is read again. A
 window agrees if AGREE of its shingles (for sets of a size that is a Jaccard similarity of 75 %) stand in the other text
 within SPAN - AGREE places of the same place, and as many of a window there stand in it; words put in or left out move what
@@ -66,6 +68,9 @@ FIRST_MET, MOST_MET, LEAST_MARKED = 8, 512, 16
 BROADCAST_IDS = 1_000_000
 REMEMBERED = 100_000
 _LOW = np.uint64((1 << 23) - 1)
+#: A place c in a column has how far beyond it the last place is that its row stands for in the bits from BEYOND on.
+BEYOND = 32
+_PLACE = (1 << BEYOND) - 1
 _SEEDS = np.array([0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2127599BF4325C37, 0x880355F21E6D1965], dtype=np.uint64)
 
 TEXTS = "_id long, node long, n_words long, sequence binary, rows binary"
@@ -115,8 +120,8 @@ def compact_windows(hashes: np.ndarray, owner: np.ndarray, span: int = SPAN) ->
 
 
 def places_of(hashes: np.ndarray, owner: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """The places c of the compact windows. Where the least shingle stands again and again, as in a line that is one word, each place
-    would be the first of its windows; then so few are taken that each window still holds one."""
+    """So few places c of the compact windows that each window still holds one, where the least shingle stands again and again. Keys are
+    made of all places: with these alone, texts whose windows are equal may hold different places of them."""
     low, c, high = compact_windows(hashes, owner, span)
     again = np.zeros(len(c) + 1, dtype=bool)
     again[1:-1] = (hashes[c[1:]] == hashes[c[:-1]]) & (owner[c[1:]] == owner[c[:-1]])
@@ -134,9 +139,27 @@ def places_of(hashes: np.ndarray, owner: np.ndarray, span: int = SPAN) -> np.nda
     return np.sort(np.concatenate([c[lone], np.array(taken, dtype=np.int64)]))
 
 
+def places_with_runs(shingles: np.ndarray, hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """All places c of the compact windows. Those that follow each other with the same surroundings (WIDE shingles), as in a line that
+    is one word, are the first of them and, from the bit BEYOND on, how far beyond it the last one is: what another text shares around
+    one it shares around each."""
+    c = compact_windows(hashes, owner)[1]
+    first = np.ones(len(c), dtype=bool)
+    again = np.flatnonzero((hashes[c[1:]] == hashes[c[:-1]]) & (owner[c[1:]] == owner[c[:-1]]))
+    again = again[(c[again] >= REACH) & (c[again + 1] + REACH < len(hashes))]
+    again = again[owner[c[again] - REACH] == owner[c[again + 1] + REACH]]
+    around = np.arange(-REACH, REACH + 1)
+    for k in range(0, len(again), 1 << 12):
+        some = again[k : k + (1 << 12)]
+        first[some + 1] = (shingles[c[some][:, None] + around] != shingles[c[some + 1][:, None] + around]).any(axis=1)
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(c)) - 1
+    return c[starts] + ((c[ends] - c[starts]) << BEYOND) if len(c) else c
+
+
 def keys_of(shingles: np.ndarray, owner: np.ndarray, functions: int = FUNCTIONS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys of the compact windows, and their places c: with the shingles on the right and with those on the left under the first
-    hash function, with those on either side under each other one."""
+    """Keys of the compact windows, and their places c (with what they stand for): with the shingles on the right and with those on
+    the left under the first hash function, with those on either side under each other one."""
 
     def contents(length: int) -> tuple[np.ndarray, np.ndarray]:
         n = max(0, len(shingles) - length + 1)
@@ -147,11 +170,12 @@ def keys_of(shingles: np.ndarray, owner: np.ndarray, functions: int = FUNCTIONS)
 
     one_side, either_side = contents(SIDE), contents(2 * BESIDE + 1)
     for f in range(functions):
-        c = places_of(mixed(shingles ^ _SEEDS[f]), owner)
+        places = places_with_runs(shingles, mixed(shingles ^ _SEEDS[f]), owner)
+        c = places & _PLACE
         for k, (start, (content, whole)) in enumerate([(c - BESIDE, either_side)] if f else [(c, one_side), (c - SIDE + 1, one_side)]):
             there = (start >= 0) & (start < len(content))
             there[there] = whole[start[there]]
-            yield mixed(content[start[there]] + _SEEDS[4] * np.uint64(2 * f + k + 1)), c[there]
+            yield mixed(content[start[there]] + _SEEDS[4] * np.uint64(2 * f + k + 1)), places[there]
 
 
 def brief(shingles: np.ndarray) -> np.ndarray:
@@ -178,7 +202,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, part in zip(at, parts, strict=True):
             sequences[i] = brief(part).tobytes()
         for i, keys, places in _rows(parts):
-            rows[at[i]] = keys.tobytes() + places.astype(np.int32).tobytes()
+            rows[at[i]] = keys.tobytes() + places.tobytes()
         columns = (batch.column("_id"), nodes, [len(w) for w in words], sequences, rows)
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -205,7 +229,7 @@ def _rows(parts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray
         starts = np.cumsum(lengths) - lengths
         found = list(keys_of(np.concatenate(parts[held:end]), owner))
         key, c = (np.concatenate(x) for x in zip(*found, strict=True))
-        own = owner[c]
+        own = owner[c & _PLACE]
         order = np.argsort(own, kind="stable")
         key, c, own = key[order], c[order], own[order]
         cuts = np.searchsorted(own, np.arange(end - held + 1))
@@ -221,11 +245,11 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = shared.schema_of(ROWS)
     for batch in batches:
         held, nodes = batch.column("rows").to_pylist(), batch.column("node").to_numpy()
-        lengths = np.array([len(x) // 12 for x in held], dtype=np.int64)
+        lengths = np.array([len(x) // 16 for x in held], dtype=np.int64)
         if not lengths.sum():
             continue
         key = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(held, lengths, strict=True)])
-        c = np.concatenate([np.frombuffer(x, np.int32, n, 8 * n) for x, n in zip(held, lengths, strict=True)]).astype(np.int64)
+        c = np.concatenate([np.frombuffer(x, np.int64, n, 8 * n) for x, n in zip(held, lengths, strict=True)])
         node = np.repeat(nodes, lengths)
         order = np.lexsort((c, node, key))
         key, node, c = key[order], node[order], c[order]
@@ -300,7 +324,7 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, c = (batch.column("places").flatten().field(x) for x in ("key", "c"))
             row = np.repeat(np.arange(batch.num_rows), lengths)
             sequences = batch.column("sequence").to_pylist()
-            found = [stretch(sequences[i], k) for i, k in zip(row.tolist(), c.to_pylist(), strict=True)]
+            found = [stretch(sequences[i], k & _PLACE) for i, k in zip(row.tolist(), c.to_pylist(), strict=True)]
             columns = [key, batch.column("node").take(pa.array(row)), c, pa.array([x for x, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -494,7 +518,9 @@ def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarra
     hit = np.flatnonzero(rows.found.any(axis=1))
     if not len(hit):
         return None
-    start, end = interval(rows.found[hit], c[hit])
+    # a row that stands for several places has their spans, each of which reaches the next one's
+    start, end = interval(rows.found[hit], c[hit] & _PLACE)
+    end = end + (c[hit] >> BEYOND)
     return at[hit], pa.RecordBatch.from_arrays([pa.array(x) for x in (node[hit], node[rows.other[hit]], start, end)], schema=shared.schema_of(SPANS))
 
 

@@ -180,6 +180,24 @@ def test_each_window_holds_a_place_of_its_least(values):
     assert len(places) <= 2 * len(values) // 23 + 60
 
 
+@given(st.lists(st.integers(0, 2), max_size=12), st.integers(1, 60), st.lists(st.integers(0, 2), max_size=80))
+@settings(max_examples=60, deadline=None)
+def test_each_least_place_has_a_row_of_its_surroundings(period, times, rest):
+    """However often the least number recurs, each window's first least place has a row, its own or one with the same surroundings."""
+    values = np.array(period * times + rest, dtype=np.uint64)
+    owner, reach, beyond = np.zeros(len(values), dtype=np.int64), substring_dedup.REACH, substring_dedup.BEYOND
+    every = substring_dedup.compact_windows(values << np.uint64(40), owner)[1].tolist()
+    places = substring_dedup.places_with_runs(values, values << np.uint64(40), owner).tolist()
+    stood_for = []
+    for p in places:
+        c, last = p % (1 << beyond), p % (1 << beyond) + (p >> beyond)
+        run = [x for x in every if c <= x <= last]
+        assert len(run) == 1 or len({tuple(values[x - reach : x + reach + 1].tolist()) for x in run}) == 1 and c >= reach and last + reach < len(values)
+        assert all(b - a <= 46 for a, b in zip(run, run[1:], strict=False))
+        stood_for += run
+    assert stood_for == every
+
+
 def shingled(words):
     return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
 
@@ -303,6 +321,54 @@ def test_rows_of_a_key_find_what_all_pairs_do(n):
         assert got.to_pydict() == {"node": node[hit].tolist(), "pivot": node[pairs.other[hit]].tolist(), "start": start.tolist(), "end": end.tolist()}
 
 
+#: Words whose shingle is, under each hash function, less than all but one in 300.
+REFRAIN = "inedhe he th ederre inre".split()
+
+
+def refrains(seed, n, length):
+    """n times the refrain, each with words behind it that come nowhere else."""
+    return [w for k in range(n) for w in [*REFRAIN, *prose(seed + k, length + k % 4).split()]]
+
+
+@pytest.mark.parametrize("large", [substring_dedup.LARGE, 8])
+def test_equal_passages_with_a_refrain_are_found(spark, monkeypatch, large):
+    """Passages of which no text has the same refrains before or behind, so that each text would choose other places of them."""
+    monkeypatch.setattr(substring_dedup, "LARGE", large)
+    rows = []
+    for i in range(24):
+        passage = [*prose(30_000 + 100 * (i // 2), 4 + i // 2 % 3).split(), *refrains(31_000 + 100 * (i // 2), 6, 4 + i // 2 % 5)]
+        before, behind = refrains(33_000 + 10 * i, i % 3, 3 + i % 4), refrains(34_000 + 10 * i, i // 2 % 3, 4)
+        rows.append((i, " ".join([*prose(35_000 + i, 30).split(), *before, *passage[: 50 + i // 2 % 3], *behind, *prose(36_000 + i, 30).split()])))
+    found = collections.defaultdict(set)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        found[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    left, shared = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        w = t.split()
+        shared.update({tuple(w[k : k + 50]) for k in range(len(w) - 49)})
+        left.update({tuple(w[k : k + 50]) for k in range(len(w) - 49) if not found[i].issuperset(range(k, k + 50))})
+    assert sum(n > 1 for n in shared.values()) >= 12 and max(left.values()) == 1
+
+
+def test_near_passages_in_lines_of_one_word_are_found(spark):
+    """A passage that opens with one word again and again, with a word replaced; what comes before has the word too, another number of
+    times, and all its places in the run are found."""
+    rows, again = [], [40, 97, 153, 301, 1000, 0]
+    for i, n in enumerate(again):
+        tail = prose(41_000, 40).split()
+        tail[20] = f"other{i}"
+        rows.append((i, " ".join([*prose(42_000 + i, 30).split(), *["la"] * (n + 30), *tail, *prose(43_000 + i, 30).split()])))
+    node = {i: substring_dedup.node_of(substring_dedup.words_of_texts([t])[0]) for i, t in rows}
+    found = collections.defaultdict(set)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        found[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    assert set(found) == set(node) - {min(node, key=node.get)}
+    for i in found:
+        # of the run, what a text of a lesser number has too: all of it if that has 50 words of it, and else the last 30 at least
+        n, longest = again[i] + 30, max(again[j] + 30 for j in node if node[j] < node[i])
+        assert found[i] >= set(range(30 if longest >= 50 and n >= 50 else 30 + n - min(n, longest), 30 + n))
+
+
 def test_blocks_of_large_keys_find_the_same(spark, monkeypatch):
     """Keys that are dealt into blocks give the same near passages, with the same others, as keys that one task takes."""
     rng = random.Random(12)
