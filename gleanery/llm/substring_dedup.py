@@ -18,7 +18,8 @@ follows by no more. The rows of a key never become pairs outside its task.
 
 In a key, whatever its size, each row meets the rows of all texts of lesser numbers, as long as it has windows that none of
 those met before has, or a text of a still lesser number may have one. In a key of over PAIRED rows, pairs that can't agree
-aren't laid upon each other: a window that agrees leaves SLACK places open at most, so its chunks of CHUNK places do too, and
+aren't laid upon each other: a window that agrees leaves SLACK places open at most, so if it has more than these that few texts have
+near the same place, it meets these texts alone; for other windows, chunks of CHUNK places leave no more open either, and
 bitmaps of chunks show at once how many places of each can't stand in the other text; of
 what they leave open, a row's places are looked for in many texts at once. The rows of a key of over LARGE rows are
 dealt into blocks by text, and each two blocks meet inside a task; what they find of a row is put together. So no size of a key
@@ -64,6 +65,8 @@ CHUNKS_IN = [((SPAN - s) // CHUNK, s // CHUNK) for s in range(SPAN)]
 PAIRS_AT_ONCE, MARKED_AT_ONCE = 1 << 14, 1 << 18
 #: Texts that the rows of a key meet first, and at a time later on; of so many that bitmaps leave open, places are looked at.
 FIRST_MET, MOST_MET, LEAST_MARKED = 8, 512, 16
+#: Of so many places of a window that agrees, one agrees.
+RARE = SLACK + 1
 #: Ids that may be broadcast.
 BROADCAST_IDS = 1_000_000
 REMEMBERED = 100_000
@@ -450,11 +453,43 @@ class Group:
         self.found[row[later], s[later]] = True
         np.minimum.at(self.other, row[later], lead[later])
 
+    def by_rare_places(self, start: int, end: int, windows: np.ndarray) -> np.ndarray:
+        """Meets, for the rows from start to end, all texts that those of the windows (not found yet) that hold RARE places seldom had in the
+        group may agree with, and tells which windows these are: a window leaves SLACK places open at most, so one of any RARE places
+        stands near the same place in each text that it agrees with."""
+        n, settled = end - start, np.zeros_like(windows)
+        code = (self.x[start:end].astype(np.int64) << 7) + np.arange(WIDE)
+        row, place = np.nonzero(self.there[start:end])
+        held = code[row, place]
+        order = np.argsort(held, kind="stable")
+        held, row = held[order], row[order]
+        some = np.flatnonzero(windows.any(axis=1))
+        for k in range(0, len(some), 256):
+            rows = some[k : k + 256]
+            near = code[rows]
+            low, high = np.searchsorted(held, near - SLACK), np.searchsorted(held, near + SLACK, side="right")
+            of_windows = np.lib.stride_tricks.sliding_window_view(high - low, SPAN, axis=1)[:, SLACK : SLACK + SPAN]
+            i, s = np.nonzero(windows[rows])
+            rarest = np.argpartition(of_windows[i, s], RARE - 1, axis=1)[:, :RARE]
+            seldom = np.take_along_axis(of_windows[i, s], rarest, axis=1).sum(axis=1) <= n // 8
+            settled[rows[i[seldom]], s[seldom]] = True
+            chosen = np.zeros(near.shape, dtype=bool)
+            chosen[i[seldom][:, None], SLACK + s[seldom][:, None] + rarest[seldom]] = True
+            i, at = np.nonzero(chosen)
+            counts = (high - low)[i, at]
+            j = row[np.repeat(low[i, at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
+            i = np.repeat(rows[i], counts)
+            less = self.node[start + j] < self.node[start + i]
+            pairs = np.unique(i[less] * n + j[less])
+            self.meet(start + pairs // n, start + pairs % n)
+        return settled
+
     def large(self, start: int, end: int) -> None:
-        """What the rows from start to end, in order of node, find among themselves: what all their pairs would, but pairs whose
-        bitmaps leave no window open that agrees, and rows that need no further text, aren't laid upon each other."""
+        """What the rows from start to end, in order of node, find among themselves: what all their pairs would, but windows of rare
+        places meet few texts, and pairs whose bitmaps leave no window open that agrees, and rows that need no further text, aren't laid upon each other."""
         node, there = self.node[start:end], self.there[start:end]
         full = _full(there)[:, SLACK : SLACK + SPAN] == SPAN
+        full &= ~self.by_rare_places(start, end, full & ~self.found[start:end])
         own, zone = chunk_bitmaps(self.x[start:end], there)
         columns = np.ascontiguousarray(self.x[start:end].T)
         at, size = 0, FIRST_MET
