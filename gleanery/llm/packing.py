@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
                 rows += [(doc_id, k, s, n, zlib.crc32(view[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, size))]
             yield pa.RecordBatch.from_pydict({f.name: [r[i] for r in rows] for i, f in enumerate(schema)}, schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(tokenised, PIECES)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(shared.lean(tokenised, "gleanery.llm.tokenizing"), PIECES)
 
 
 def pack(items: DataFrame, size: int, open_bins: int = OPEN_BINS, task_pieces: int = TASK_PIECES) -> DataFrame:
@@ -106,7 +106,7 @@ def pack(items: DataFrame, size: int, open_bins: int = OPEN_BINS, task_pieces: i
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([base + p for p, _ in places], pa.int64()), pa.array([o for _, o in places], pa.int64())], schema=shared.schema_of(RESULT))
 
     dealt = items.repartition(n, F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.desc("length"), "doc_id", "piece", "start", "ids_crc32")
-    return dealt.mapInArrow(packed, RESULT)
+    return dealt.mapInArrow(shared.lean(packed), RESULT)
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, open_bins: int = OPEN_BINS) -> DataFrame:

@@ -74,6 +74,13 @@ def dictionary() -> tuple[dict[str, int], frozenset[str]]:
     return ranks, frozenset(w[:k] for w in ranks for k in range(LEAST_LETTERS, len(w) + 1))
 
 
+def forget() -> bool:
+    """Drop the worker's dictionary; whether there was one."""
+    any_ = dictionary.cache_info().currsize > 0
+    dictionary.cache_clear()
+    return any_
+
+
 #: Kinds of runs: name, whether b follows a, and log10 of the guesses for a run of one character.
 _RUNS = (("repeat", lambda a, b: a == b, 1.0), ("sequence", lambda a, b: abs(ord(b) - ord(a)) == 1, 1.2), ("walk", lambda a, b: (a, b) in _NEAR, 1.6))
 
@@ -189,7 +196,7 @@ def secrets(docs: DataFrame, least_guesses: float = LEAST_GUESSES) -> DataFrame:
                 rows.append((doc_id, *counts, hashlib.sha256(named(base).encode()).hexdigest(), named(base + more), len(more)))
             yield pa.RecordBatch.from_pydict({f.name: [r[i] for r in rows] for i, f in enumerate(schema)}, schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(shared.lean(scanned), RESULT)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(shared.lean(scanned, __name__), RESULT)
 
 
 def redact(text: str, mark: str = "[SECRET]", least_guesses: float = LEAST_GUESSES) -> str:

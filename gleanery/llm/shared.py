@@ -44,12 +44,16 @@ def release() -> None:
         trim(0)
 
 
-def lean(of_batches: Callable) -> Callable:
-    """of_batches, in a worker that forgets before what earlier operators' tasks have left in it, and gives back its own memory after."""
+#: What operators remember in a worker from task to task, by module: its forget() drops it and tells whether there was any.
+_REMEMBERING = ("gleanery.llm.tokenizing", "gleanery.llm.secret_scan")
+
+
+def lean(of_batches: Callable, own: str = "") -> Callable:
+    """of_batches, in a worker that forgets before what earlier operators' tasks have left in it, but for what the module own remembers,
+    and gives back its own memory after."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizing = sys.modules.get("gleanery.llm.tokenizing")
-        if tokenizing and tokenizing.forget():
+        if any([sys.modules[m].forget() for m in _REMEMBERING if m != own and m in sys.modules]):
             gc.collect()  # an encoder and its pieces hold each other
             release()
         try:

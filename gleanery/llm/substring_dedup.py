@@ -665,6 +665,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
         return pd.Series([t if s is None or t is None else without(t, [(x["start_word"], x["end_word"]) for x in s]) for t, s in zip(texts, found, strict=True)], dtype=object)
 
+    cut = cut.asNondeterministic()  # else the filter below takes it a second time, in a second worker for each task
     found = spans["_spans"]
     joined = docs.join(F.broadcast(spans) if few else spans, docs["doc_id"].cast("long") == spans["_doc"], "left")
     own = [docs[c] for c in docs.columns]  # by reference: docs may have columns of any name

@@ -19,8 +19,8 @@ UNCUT = re.compile(r"\s\s|[^\S \n]")
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
 UNCOMMON = re.compile("[^\n\x20-\x7e\xa1-ſ]")
-#: Pieces in each of the worker's two tables; when the newer is full, the older is dropped.
-MOST_PIECES = 400_000
+#: Pieces in each of the worker's two tables; when the newer is full, the older is dropped. Two tables of 400,000 made 200 MB of a worker.
+MOST_PIECES = 200_000
 
 
 def byte_symbols() -> list[str]:

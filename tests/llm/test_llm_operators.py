@@ -399,6 +399,25 @@ def test_deduplicated_texts_share_no_passage(docs, corpus):
     assert {r["doc_id"]: r["text"] for r in out.collect() if r["doc_id"] in untouched} == untouched
 
 
+def test_passages_are_cut_by_one_worker_for_each_task(spark):
+    """A filter on what a Python function gives isn't answered by a second call of it, which takes a second worker beside the first."""
+    docs = spark.createDataFrame([(i, f"{prose(60, 60)} {prose(61 + i, 20)}") for i in range(3)], "doc_id long, text string")
+    plan = substring_dedup.deduplicated(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_workers_forget_what_other_operators_remember():
+    from gleanery.llm import shared, tokenizing
+
+    def remembered(own):
+        tokenizing.encoder(tokenizer_path("byte_bpe_50k.json"))
+        secret_scan.dictionary()
+        list(shared.lean(iter, own)([]))
+        return len(tokenizing._ENCODERS), secret_scan.dictionary.cache_info().currsize
+
+    assert remembered("") == (0, 0) and remembered(tokenizing.__name__) == (1, 0) and remembered(secret_scan.__name__) == (0, 1)
+
+
 def test_without_spans():
     assert substring_dedup.without("a b  c\nd", [(1, 3)]) == "a d"
     assert substring_dedup.without("a b c", [(0, 2), (1, 3)]) == ""
