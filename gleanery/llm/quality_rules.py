@@ -297,13 +297,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS
     field = fitted(docs, labels, sample)
     schema = docs.schema
     shared.ship(docs.sparkSession)
-
-    @F.pandas_udf("boolean")
-    def keeps(texts):
-        import pandas as pd
-
-        return pd.Series([_keeps(x or "", field, content_share) for x in texts], dtype=bool)
-
+    keeps = shared.lean_column(lambda x: _keeps(x or "", field, content_share), "boolean")
     return docs.where(keeps(F.col("text").cast("string"))).select(*schema.names)
 
 

@@ -213,10 +213,6 @@ def redact(text: str, mark: str = "[SECRET]", least_guesses: float = LEAST_GUESS
 def redacted(docs: DataFrame, mark: str = "[SECRET]", least_guesses: float = LEAST_GUESSES) -> DataFrame:
     """docs with the secrets of their texts replaced by the mark, and n_chars after it; a null text stays null."""
     shared.ship(docs.sparkSession)
-
-    @F.pandas_udf("string")
-    def replace(texts):
-        return texts.map(lambda x: None if x is None else redact(x, mark, least_guesses))
-
+    replace = shared.lean_column(lambda x: None if x is None else redact(x, mark, least_guesses), "string", __name__)
     out = docs.withColumn("text", replace(F.col("text").cast("string")))
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from gleanery import shipping
 
@@ -25,7 +26,7 @@ _ROOTS: dict[str, str] = {}
 
 #: Bytes of a batch that goes to a Python worker, where the session does not say otherwise: a batch of texts is held in the JVM, in
 #: the worker's buffers and as Python strings, so that large ones cost several times their size.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -64,6 +65,24 @@ def lean(of_batches: Callable, own: str = "") -> Callable:
     return run
 
 
+def lean_column(function: Callable, kind: str, own: str = "") -> Callable:
+    """A column of function of each row's values, the first of which is a text (or null), in a lean worker. It goes by Arrow, so that no
+    worker loads pandas, and few texts at a time are Python strings."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [pa.array([function(*row) for row in zip(*(c.to_pylist() for c in part.columns), strict=True)], _ARROW[kind]) for part in slices([batch], "0", most=1 << 20)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], _ARROW[kind])
+
+    leaned = lean(each, own)
+
+    def run(columns):
+        together = (c if isinstance(c, tuple) else (c,) for c in columns)
+        return leaned(pa.RecordBatch.from_arrays(list(c), [str(k) for k in range(len(c))]) for c in together)
+
+    return F.arrow_udf(run, kind, ArrowUDFType.SCALAR_ITER)
+
+
 def shared_root(spark: SparkSession) -> str:
     """A folder of this application under spark.checkpoint.dir, as a URI.
 

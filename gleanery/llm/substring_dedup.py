@@ -658,13 +658,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans = repeated_passages(docs).where("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("_spans"))
     spans = shared.written(spans.withColumnRenamed("doc_id", "_doc"), "doc-spans")
     few = spans.agg(F.coalesce(F.sum(F.size("_spans")), F.lit(0))).first()[0] <= BROADCAST_IDS // 4
-
-    @F.pandas_udf("string")
-    def cut(texts, found):
-        import pandas as pd
-
-        return pd.Series([t if s is None or t is None else without(t, [(x["start_word"], x["end_word"]) for x in s]) for t, s in zip(texts, found, strict=True)], dtype=object)
-
+    cut = shared.lean_column(lambda t, s: t if s is None or t is None else without(t, [(x["start_word"], x["end_word"]) for x in s]), "string")
     cut = cut.asNondeterministic()  # else the filter below takes it a second time, in a second worker for each task
     found = spans["_spans"]
     joined = docs.join(F.broadcast(spans) if few else spans, docs["doc_id"].cast("long") == spans["_doc"], "left")

@@ -1028,3 +1028,20 @@ def test_bitmaps_never_differ_more_than_sets(n, more, seed):
     pool = np.unique(np.random.default_rng(seed).integers(0, 2**64, n + more, dtype=np.uint64))
     x, y = pool[:n], pool[min(n, len(pool)) // 3 :]
     assert ngram_join.marks_apart(ngram_join.mark_of(x), ngram_join.mark_of(y)) <= len(np.setxor1d(x, y))
+
+
+def test_redaction_is_lean(spark):
+    """The worker of the redaction forgets other operators' encoders and goes by Arrow, some texts at a time."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from gleanery.llm import shared, tokenizing
+
+    docs = spark.createDataFrame([(i, f"password = {i:020d}xyz" if i % 2 else None) for i in range(200)], "doc_id long, text string")
+    tokenizing.encoder(tokenizer_path("byte_bpe_50k.json"))
+    column = shared.lean_column(lambda x: x and x.upper(), "string", secret_scan.__name__)
+    texts = ["a" * 700_000, None, "b" * 700_000, "c"]
+    (out,) = column.func(iter([pa.array(texts)]))
+    assert out.to_pylist() == [x and x.upper() for x in texts] and not tokenizing._ENCODERS
+    assert list(column.func(iter([pa.array([], pa.string())])))[0].to_pylist() == []
+    assert secret_scan.redacted(docs).where(F.col("text").contains("[SECRET]")).count() == 100
