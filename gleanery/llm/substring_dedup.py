@@ -417,8 +417,8 @@ def agree_one_way(x: np.ndarray, others: np.ndarray, live: np.ndarray) -> np.nda
 class Group:
     """Rows around places, with what is found of each: the windows that agree with a text before, and the first such text's row."""
 
-    def __init__(self, node: np.ndarray, x: np.ndarray, there: np.ndarray):
-        self.node, self.x, self.there = node, x, there
+    def __init__(self, node: np.ndarray, x: np.ndarray, there: np.ndarray, c: np.ndarray | None = None):
+        self.node, self.x, self.there, self.c = node, x, there, c
         self.found = np.zeros((len(node), SPAN), dtype=bool)
         self.other = np.full(len(node), len(node), dtype=np.int64)
 
@@ -453,14 +453,35 @@ class Group:
         self.found[row[later], s[later]] = True
         np.minimum.at(self.other, row[later], lead[later])
 
+    def outermost(self, start: int, end: int) -> np.ndarray:
+        """Which windows of the rows from start to end hold no place of their text's row before, or none of the row behind. A window that
+        holds many of a text's places, as in a run of one word, is asked at the first and the last of them, where other texts are laid
+        on it from where the run begins and from where it ends. Rows whose surroundings aren't the same text moved on count as apart."""
+        if self.c is None:
+            return np.ones((end - start, SPAN), dtype=bool)
+        node, x, c = self.node[start:end], self.x[start:end], self.c[start:end] & _PLACE
+        last = c + (self.c[start:end] >> BEYOND)
+        on = c[1:] - last[:-1]
+        near = np.flatnonzero((node[1:] == node[:-1]) & (on > 0) & (on < SPAN))
+        moved = np.arange(WIDE) + on[near][:, None]
+        same = np.zeros(len(on), dtype=bool)
+        same[near] = ((np.take_along_axis(x[near], np.minimum(moved, WIDE - 1), axis=1) == x[near + 1]) | (moved >= WIDE)).all(axis=1)
+        before = np.concatenate([[-1], np.where(same, last[:-1], -1)])
+        behind = np.concatenate([np.where(same, c[1:], _PLACE), [_PLACE]])
+        ends = c[:, None] + np.arange(SPAN)
+        return (ends - SPAN + 1 > before[:, None]) | (ends < behind[:, None])
+
     def by_rare_places(self, start: int, end: int, windows: np.ndarray) -> np.ndarray:
         """Meets, for the rows from start to end, all texts that those of the windows (not found yet) that hold RARE places seldom had in the
         group may agree with, and tells which windows these are: a window leaves SLACK places open at most, so one of any RARE places
-        stands near the same place in each text that it agrees with."""
+        stands near the same place in each text that it agrees with. Rows of the same text don't count: a text with a run of one word has
+        many, each with the others' surroundings a place further on."""
         n, settled = end - start, np.zeros_like(windows)
+        text = np.cumsum(np.concatenate([[0], self.node[start + 1 : end] != self.node[start : end - 1]])) << (7 + 16)
         code = (self.x[start:end].astype(np.int64) << 7) + np.arange(WIDE)
         row, place = np.nonzero(self.there[start:end])
         held = code[row, place]
+        of_text = np.sort(text[row] + held)
         order = np.argsort(held, kind="stable")
         held, row = held[order], row[order]
         some = np.flatnonzero(windows.any(axis=1))
@@ -468,27 +489,38 @@ class Group:
             rows = some[k : k + 256]
             near = code[rows]
             low, high = np.searchsorted(held, near - SLACK), np.searchsorted(held, near + SLACK, side="right")
-            of_windows = np.lib.stride_tricks.sliding_window_view(high - low, SPAN, axis=1)[:, SLACK : SLACK + SPAN]
-            i, s = np.nonzero(windows[rows])
-            rarest = np.argpartition(of_windows[i, s], RARE - 1, axis=1)[:, :RARE]
-            seldom = np.take_along_axis(of_windows[i, s], rarest, axis=1).sum(axis=1) <= n // 8
+            own = near + text[rows][:, None]
+            others = high - low - (np.searchsorted(of_text, own + SLACK, side="right") - np.searchsorted(of_text, own - SLACK))
+            alone = windows[rows] & (_full(others == 0)[:, SLACK : SLACK + SPAN] >= RARE)
+            settled[rows] |= alone
+            i, s = np.nonzero(windows[rows] & ~alone)
+            if not len(i):
+                continue
+            of_windows = np.lib.stride_tricks.sliding_window_view(others, SPAN, axis=1)[i, SLACK + s]
+            rarest = np.argpartition(of_windows, RARE - 1, axis=1)[:, :RARE]
+            seldom = np.take_along_axis(of_windows, rarest, axis=1).sum(axis=1) <= n // 8
             settled[rows[i[seldom]], s[seldom]] = True
             chosen = np.zeros(near.shape, dtype=bool)
             chosen[i[seldom][:, None], SLACK + s[seldom][:, None] + rarest[seldom]] = True
-            i, at = np.nonzero(chosen)
+            i, at = np.nonzero(chosen & (others > 0))
+            if not len(i):
+                continue
             counts = (high - low)[i, at]
-            j = row[np.repeat(low[i, at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
-            i = np.repeat(rows[i], counts)
-            less = self.node[start + j] < self.node[start + i]
-            pairs = np.unique(i[less] * n + j[less])
-            self.meet(start + pairs // n, start + pairs % n)
+            cuts = np.searchsorted(np.cumsum(counts), np.arange(0, counts.sum(), MARKED_AT_ONCE))
+            for a, b in zip(cuts, [*cuts[1:], len(i)], strict=True):
+                m = counts[a:b]
+                j = row[np.repeat(low[i[a:b], at[a:b]] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+                mine = np.repeat(rows[i[a:b]], m)
+                less = self.node[start + j] < self.node[start + mine]
+                pairs = np.unique(mine[less] * n + j[less])
+                self.meet(start + pairs // n, start + pairs % n)
         return settled
 
     def large(self, start: int, end: int) -> None:
         """What the rows from start to end, in order of node, find among themselves: what all their pairs would, but windows of rare
         places meet few texts, and pairs whose bitmaps leave no window open that agrees, and rows that need no further text, aren't laid upon each other."""
         node, there = self.node[start:end], self.there[start:end]
-        full = _full(there)[:, SLACK : SLACK + SPAN] == SPAN
+        full = (_full(there)[:, SLACK : SLACK + SPAN] == SPAN) & self.outermost(start, end)
         full &= ~self.by_rare_places(start, end, full & ~self.found[start:end])
         own, zone = chunk_bitmaps(self.x[start:end], there)
         columns = np.ascontiguousarray(self.x[start:end].T)
@@ -542,7 +574,7 @@ def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarra
     at = np.flatnonzero(keep)
     group, node, c, left = group[at], node[at], c[at], left[at]
     x, there = laid_out(left, [around[i] for i in at])
-    rows = Group(node, x, there)
+    rows = Group(node, x, there, c)
     rows.equal_windows(group)
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     sizes = np.diff(np.append(starts, len(group)))

@@ -321,6 +321,43 @@ def test_rows_of_a_key_find_what_all_pairs_do(n):
         assert got.to_pydict() == {"node": node[hit].tolist(), "pivot": node[pairs.other[hit]].tolist(), "start": start.tolist(), "end": end.tolist()}
 
 
+def test_rows_of_a_run_are_asked_where_it_begins_and_ends(monkeypatch):
+    """Texts with a run of one word make a row for each place of it. What they find together is what all pairs of rows would, with few of
+    them laid upon each other, though each row's surroundings recur in the text's other rows a place further on."""
+    rng = np.random.default_rng(5)
+    reach, wide = substring_dedup.REACH, substring_dedup.WIDE
+    node, c, stretches = [], [], []
+    tails = rng.integers(1, 1 << 16, (12, 120))
+    for i in range(36):
+        run, tail = 20 + 3 * (i % 5), tails[i // 3].copy()
+        tail[10:13] += i % 2
+        text = np.concatenate([rng.integers(1, 1 << 16, 60), np.full(run, 7), tail]).astype(np.uint16)
+        for at in range(60, 60 + run):
+            node.append(i)
+            c.append(at)
+            stretches.append(text[at - reach : at - reach + wide])
+    node, c, x = np.array(node), np.array(c), np.array(stretches)
+    laid = []
+    one_way = substring_dedup.agree_one_way
+    monkeypatch.setattr(substring_dedup, "agree_one_way", lambda *a: laid.append(a[1].shape[1]) or one_way(*a))
+    got = substring_dedup.spans_of(np.zeros(len(c), dtype=np.int64), node, c, np.full(len(c), reach), [r.tobytes() for r in x])[1].to_pydict()
+    pairs = substring_dedup.Group(node, x, np.ones(x.shape, dtype=bool))
+    pairs.meet(*np.nonzero(node[:, None] > node))
+    hit = np.flatnonzero(pairs.found.any(axis=1))
+    start, end = substring_dedup.interval(pairs.found[hit], c[hit])
+
+    def passages(node, pivot, start, end):
+        covered, others = collections.defaultdict(set), {}
+        for n, other, a, b in zip(node, pivot, start, end, strict=True):
+            covered[n].update(range(a, b))
+            others[n] = min(other, others.get(n, other))
+        return covered, others
+
+    wanted = passages(node[hit].tolist(), node[pairs.other[hit]].tolist(), start.tolist(), end.tolist())
+    assert passages(*(got[k] for k in ("node", "pivot", "start", "end"))) == wanted and len(wanted[0]) >= 24
+    assert sum(laid) < 120_000  # 296,090 when rows of the same text counted and each row asked all of its windows
+
+
 #: Words whose shingle is, under each hash function, less than all but one in 300.
 REFRAIN = "inedhe he th ederre inre".split()
 
