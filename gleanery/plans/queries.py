@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from gleanery.functions import hashing, text, vectors
 from gleanery.functions.pixels import bounded_side
 from gleanery.operators import dedup, models, naming, palette, resume
-from gleanery.operators.graph import connected_components
 
 HASH_DISTANCE, COSINE_DISTANCE = 18, 0.7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,7 +263,7 @@ def _reach(pairs: str) -> str:
 
 
 def _signed(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), vectors.sign_bits(F.col("embedding")).alias("phash"), vectors.doubles(F.col("embedding")).alias("vector"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), vectors.sign_bits(F.col("embedding")).alias("phash"), F.col("embedding").alias("vector"))
 
 
 @query(_PAIRS)
@@ -274,7 +273,7 @@ def hamming_pairs(spark, sf_dir):
 
 @query(f"WITH RECURSIVE p AS ({_PAIRS}), {_reach('p')} SELECT u AS node, min(v) AS component FROM p_reach GROUP BY u")
 def connected_component_labels(spark, sf_dir):
-    return connected_components(dedup.hamming_pairs(_signed(spark, sf_dir), HASH_DISTANCE).select("u", "v"))
+    return dedup.hamming_components(_signed(spark, sf_dir), HASH_DISTANCE)
 
 
 _GROUPED = f"p AS ({_PAIRS}), {_reach('p')}, g AS (SELECT r.u AS id, min(r.v) AS group_id FROM p_reach r GROUP BY r.u), s AS ({_SIGNED})"
@@ -284,7 +283,7 @@ _COSINE = f"SELECT a.group_id, a.id AS u, b.id AS v FROM g a JOIN g b ON a.group
 @query(f"WITH RECURSIVE {_GROUPED} {_COSINE}")
 def cosine_pairs_in_groups(spark, sf_dir):
     rows = _signed(spark, sf_dir)
-    return dedup.cosine_pairs_in_groups(dedup.groups_of(rows, dedup.hamming_pairs(rows, HASH_DISTANCE)), COSINE_DISTANCE)
+    return dedup.cosine_pairs_in_groups(dedup.in_components(rows, dedup.hamming_components(rows, HASH_DISTANCE)), COSINE_DISTANCE)
 
 
 @query(f"WITH RECURSIVE {_GROUPED}, q AS ({_COSINE}), {_reach('q')}, c AS (SELECT u AS vec_id, min(v) AS group_id FROM q_reach GROUP BY u) SELECT vec_id, group_id, (row_number() OVER (PARTITION BY group_id ORDER BY vec_id) - 1)::int AS rank FROM c")
