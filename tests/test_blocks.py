@@ -64,6 +64,14 @@ def test_vector_pairs_of_blocks_are_all_pairs(spark, small_blocks):
     assert len(got) == len(set(got)) and set(got) == near_in_groups(rows, 0.6)
 
 
+def test_vector_components_need_no_pairs(spark, small_blocks):
+    rows = vectors_in_groups(3)
+    whole = [(300 + i, "missing", None if i == 1 else [float(i), 1.0]) for i in range(4)]
+    df = spark.createDataFrame(rows + whole, "id long, group_id string, vector array<double>")
+    got = {r["node"]: r["component"] for r in dedup.cosine_components(df, 0.4).collect()}
+    assert got == least_reached([*near_in_groups(rows, 0.4), (300, 301), (301, 302), (301, 303)])
+
+
 def test_a_distance_at_the_limit_is_rounded(spark):
     rows = [(1, 1, [1.0, 0.0]), (2, 1, [0.3, float(np.sqrt(1 - 0.09))]), (3, 1, [0.3 - 4e-13, float(np.sqrt(1 - 0.09))]), (4, 1, [0.3 - 4e-11, float(np.sqrt(1 - 0.09))])]
     df = spark.createDataFrame(rows, "id long, group_id long, vector array<double>")
