@@ -57,6 +57,17 @@ def near_in_groups(rows, most):
     return {(u, v) for (u, g, a), (v, h, b) in itertools.combinations(sorted(rows, key=lambda r: r[0]), 2) if g is not None and g == h and cosine(a, b) <= most}
 
 
+def test_hash_pairs_of_blocks_are_all_pairs(spark, small_blocks):
+    found = hashes()
+    expected = {(i, j, d) for i, j in itertools.combinations(range(len(found)), 2) if (d := (found[i] ^ found[j]).bit_count()) <= 12}
+    pairs = dedup.hamming_pairs(hashed(spark, found), 12, direct_rows=0)
+    assert dict(pairs.dtypes) == {"u": "bigint", "v": "bigint", "distance": "int"}
+    got = [tuple(r) for r in pairs.select("u", "v", "distance").collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate explode([[" not in plan  # no table of a row for each of 548 values around each hash
+
+
 def test_vector_pairs_of_blocks_are_all_pairs(spark, small_blocks):
     rows = vectors_in_groups()
     df = spark.createDataFrame(rows, "id long, group_id string, vector array<double>")
