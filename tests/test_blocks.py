@@ -68,6 +68,14 @@ def test_hash_pairs_of_blocks_are_all_pairs(spark, small_blocks):
     assert "MapInArrow" in plan and "Generate explode([[" not in plan  # no table of a row for each of 548 values around each hash
 
 
+@pytest.mark.parametrize("distance", [3, 8, 12])
+def test_hash_components_need_no_pairs(spark, small_blocks, distance):
+    found = hashes(seed=distance)
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(found)), 2) if (found[i] ^ found[j]).bit_count() <= distance]
+    got = {r["node"]: r["component"] for r in dedup.hamming_components(hashed(spark, found), distance).collect()}
+    assert got == least_reached(pairs)
+
+
 def test_vector_pairs_of_blocks_are_all_pairs(spark, small_blocks):
     rows = vectors_in_groups()
     df = spark.createDataFrame(rows, "id long, group_id string, vector array<double>")
@@ -97,3 +105,20 @@ def test_a_group_of_thousands_is_compared_by_tiles(spark):
     df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "id long, group_id long, vector array<float>")
     unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
     assert dedup.cosine_pairs_in_groups(df, 0.2).count() == int(np.triu(unit @ unit.T >= 0.8, 1).sum())
+
+
+def test_one_component_is_compared_once():
+    """Rows that are connected already meet no more: comparisons of a group that is one component grow with its rows, not their square."""
+    compared = 0
+
+    class Counting(blocks.Hashes):
+        def near(self, rows, others):
+            nonlocal compared
+            compared += len(rows) * len(others)
+            return super().near(rows, others)
+
+    import pyarrow as pa
+
+    x = Counting(pa.chunked_array([np.zeros(20_000, dtype=np.int64)]), 18)
+    root = blocks.roots(x, None, np.arange(20_000), 20_000)
+    assert not root.any() and compared < 20_000 * 1_000
