@@ -435,7 +435,7 @@ def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each document."""
     spark = docs.sparkSession
     shared.ship(spark)
-    n_parts = 4 * shared.partitions(spark)
+    n_parts = 2 * shared.partitions(spark)
     texts = docs.select(shared.long_id(docs, "doc_id").alias("_id"), docs["text"].cast("string").alias("text"))
     survey = shared.written(texts.select("text").mapInArrow(shared.lean(_survey), SURVEY), "survey")
     counted = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).where(f"times >= {LEAST_COUNT}")

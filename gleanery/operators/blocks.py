@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.durable import durable
-from gleanery.operators.graph import connected_components
+from gleanery.operators.graph import connected_components, unite
 from gleanery.operators.ranking import join_groups
 from gleanery.shipping import ship
 
@@ -98,19 +98,6 @@ def in_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Connects nodes a with nodes b. root: for each node the least one that it is connected with, before and after."""
-    while True:
-        a, b = root[a], root[b]
-        apart = a != b
-        if not apart.any():
-            return
-        a, b = a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while (root[root] != root).any():
-            root[:] = root[root]
-
-
 def _sides(kind: np.ndarray, side: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The rows and others of a kind to be compared: of two blocks each with each, of one (no side) all with all."""
     for k in np.unique(kind[kind >= 0]):

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from gleanery.operators import blocks, dedup
+from gleanery.operators.graph import connected_components
 
 
 @pytest.fixture
@@ -122,3 +123,19 @@ def test_one_component_is_compared_once():
     x = Counting(pa.chunked_array([np.zeros(20_000, dtype=np.int64)]), 18)
     root = blocks.roots(x, None, np.arange(20_000), 20_000)
     assert not root.any() and compared < 20_000 * 1_000
+
+
+@pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(60)], [(9, 2), (3, 4), (2, 9), (5, 5), (4, 9)], [(0, i) for i in range(1, 30)]])
+def test_few_edges_need_no_rounds(spark, edges):
+    rounds = []
+
+    def kept(df):
+        rounds.append(1)
+        return df.localCheckpoint()
+
+    df = spark.createDataFrame(edges, "u long, v long")
+    expected = least_reached([e for e in edges if e[0] != e[1]])
+    got = connected_components(df, kept)
+    assert {r["node"]: r["component"] for r in got.collect()} == expected and len(rounds) == 1
+    assert dict(got.dtypes) == {"node": "bigint", "component": "bigint"}
+    assert {r["node"]: r["component"] for r in connected_components(df, kept, driver_edges=0).collect()} == expected
