@@ -10,7 +10,9 @@ Rows of compact windows meet at a key: the least shingle and those beside it. Un
 seven on its right and one for the seven on its left, one of which lies inside any window; under the others, one for the two on
 either side. A row is made for every place that is some window's first least, so windows that are equal have rows of the same key
 at the same place of them, however often their least shingle recurs; places in a row whose surroundings are the same, as in a
-line that is one word, have one row that stands for all of them. Keys of one text alone go. What is left is joined by intervals inside each key: laid upon each other at c, two
+line that is one word, have one row that stands for all of them. Where a key's shingles are one again and again, a
+run of it has rows for the first and the last place alone: a window that opens inside the run goes by the last one, and one that lies
+inside it equals the one that opens where the run does. So a text has two rows of such a key for a run, however long. Keys of one text alone go. What is left is joined by intervals inside each key: laid upon each other at c, two
 compact windows and what stands around them show at once which of the windows that hold c agree, so no text is read again. A
 window agrees if AGREE of its shingles (for sets of a size that is a Jaccard similarity of 75 %) stand in the other text
 within SPAN - AGREE places of the same place, and as many of a window there stand in it; words put in or left out move what
@@ -71,9 +73,10 @@ RARE = SLACK + 1
 BROADCAST_IDS = 1_000_000
 REMEMBERED = 100_000
 _LOW = np.uint64((1 << 23) - 1)
-#: A place c in a column has how far beyond it the last place is that its row stands for in the bits from BEYOND on.
-BEYOND = 32
-_PLACE = (1 << BEYOND) - 1
+#: A place c in a column has how far beyond it the last place is that its row stands for in the bits from BEYOND on; with the bit
+#: IN_RUN, that is the last place of c's run of one shingle, and the row stands for the windows inside the run alone.
+BEYOND, IN_RUN = 32, 1 << 62
+_PLACE, _FAR = (1 << BEYOND) - 1, (1 << 30) - 1
 _SEEDS = np.array([0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2127599BF4325C37, 0x880355F21E6D1965], dtype=np.uint64)
 
 TEXTS = "_id long, node long, n_words long, sequence binary, rows binary"
@@ -160,6 +163,28 @@ def places_with_runs(shingles: np.ndarray, hashes: np.ndarray, owner: np.ndarray
     return c[starts] + ((c[ends] - c[starts]) << BEYOND) if len(c) else c
 
 
+def runs_around(places: np.ndarray, shingles: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last place of the run of one shingle that each place is in."""
+    new = np.ones(len(shingles), dtype=bool)
+    new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+    firsts = np.flatnonzero(new)
+    run = np.searchsorted(firsts, places & _PLACE, side="right") - 1
+    return firsts[run], np.append(firsts[1:], len(shingles))[run] - 1
+
+
+def ends_of_runs(places: np.ndarray, first: np.ndarray, last: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The places that make a row of a key of the shingles from low to high around them: where these are one run's, the first and the
+    last place of the run at which they are. A window that opens inside a run, which is its least, goes by the last one if it reaches
+    beyond the run, whether it opens at the run's first place or further on; if it doesn't, it equals the window from there on."""
+    c, far = places & _PLACE, (places & _PLACE) + (places >> BEYOND)
+    ends = np.unique(last[(last - first >= high - low) & (far + SPAN > last)]) - high
+    inside = (c + low >= first) & (far + high <= last)
+    lead = np.flatnonzero(inside)
+    lead = lead[np.concatenate([[True], first[lead[1:]] != first[lead[:-1]]])] if len(lead) else lead
+    long = np.where(last[lead] - c[lead] + 1 >= SPAN, IN_RUN | ((last[lead] - c[lead]) << BEYOND), 0)
+    return np.concatenate([places[~inside], c[lead] + long, np.setdiff1d(ends, c[lead])])
+
+
 def keys_of(shingles: np.ndarray, owner: np.ndarray, functions: int = FUNCTIONS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Keys of the compact windows, and their places c (with what they stand for): with the shingles on the right and with those on
     the left under the first hash function, with those on either side under each other one."""
@@ -173,9 +198,11 @@ def keys_of(shingles: np.ndarray, owner: np.ndarray, functions: int = FUNCTIONS)
 
     one_side, either_side = contents(SIDE), contents(2 * BESIDE + 1)
     for f in range(functions):
-        places = places_with_runs(shingles, mixed(shingles ^ _SEEDS[f]), owner)
-        c = places & _PLACE
-        for k, (start, (content, whole)) in enumerate([(c - BESIDE, either_side)] if f else [(c, one_side), (c - SIDE + 1, one_side)]):
+        found = places_with_runs(shingles, mixed(shingles ^ _SEEDS[f]), owner)
+        first, last = runs_around(found, shingles, owner)
+        for k, (low, high, (content, whole)) in enumerate([(-BESIDE, BESIDE, either_side)] if f else [(0, SIDE - 1, one_side), (1 - SIDE, 0, one_side)]):
+            places = ends_of_runs(found, first, last, low, high)
+            start = (places & _PLACE) + low
             there = (start >= 0) & (start < len(content))
             there[there] = whole[start[there]]
             yield mixed(content[start[there]] + _SEEDS[4] * np.uint64(2 * f + k + 1)), places[there]
@@ -460,7 +487,7 @@ class Group:
         if self.c is None:
             return np.ones((end - start, SPAN), dtype=bool)
         node, x, c = self.node[start:end], self.x[start:end], self.c[start:end] & _PLACE
-        last = c + (self.c[start:end] >> BEYOND)
+        last = c + stood_for(self.c[start:end])
         on = c[1:] - last[:-1]
         near = np.flatnonzero((node[1:] == node[:-1]) & (on > 0) & (on < SPAN))
         moved = np.arange(WIDE) + on[near][:, None]
@@ -553,6 +580,11 @@ class Group:
             self.meet(i[less], j[less])
 
 
+def stood_for(c: np.ndarray) -> np.ndarray:
+    """How far beyond their places the last one is around which the rows of c share what they share around theirs."""
+    return np.where((c & IN_RUN) > 0, 0, (c >> BEYOND) & _FAR)
+
+
 def interval(found: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the windows found of each row, which all hold c and so are one interval."""
     if not len(c):
@@ -585,9 +617,12 @@ def spans_of(group: np.ndarray, node: np.ndarray, c: np.ndarray, left: np.ndarra
     hit = np.flatnonzero(rows.found.any(axis=1))
     if not len(hit):
         return None
-    # a row that stands for several places has their spans, each of which reaches the next one's
-    start, end = interval(rows.found[hit], c[hit] & _PLACE)
-    end = end + (c[hit] >> BEYOND)
+    # a row that stands for several places has their spans, each of which reaches the next one's; where the window from a run's first
+    # place on is found, so are all that lie inside the run
+    place, far = c[hit] & _PLACE, (c[hit] >> BEYOND) & _FAR
+    start, end = interval(rows.found[hit], place)
+    in_run = ((c[hit] & IN_RUN) > 0) & rows.found[hit, -1]
+    end = np.where(in_run, np.maximum(end, place + far + 1), end + stood_for(c[hit]))
     return at[hit], pa.RecordBatch.from_arrays([pa.array(x) for x in (node[hit], node[rows.other[hit]], start, end)], schema=shared.schema_of(SPANS))
 
 

@@ -198,6 +198,49 @@ def test_each_least_place_has_a_row_of_its_surroundings(period, times, rest):
     assert stood_for == every
 
 
+def spans_of_shingles(texts):
+    """What each text finds of those before it, and how many rows of each key each has."""
+    parts = [substring_dedup.mixed(np.array(t, dtype=np.uint64) + np.uint64(1)) for t in texts]
+    rows = []
+    for i, keys, places in substring_dedup._rows(parts):
+        sequence = substring_dedup.brief(parts[i]).tobytes()
+        rows += [(k, i, c, *substring_dedup.stretch(sequence, c & (1 << substring_dedup.BEYOND) - 1)) for k, c in zip(keys.view(np.int64).tolist(), places.tolist(), strict=True)]
+    rows.sort(key=lambda r: r[:3])
+    found = substring_dedup.spans_of(*(np.array(x) for x in list(zip(*rows, strict=True))[:4]), [r[4] for r in rows]) if rows else None
+    covered = collections.defaultdict(set)
+    for r in found[1].to_pylist() if found else []:
+        covered[r["node"]].update(range(r["start"], r["end"]))
+    return covered, collections.Counter((k, i) for k, i, *_ in rows)
+
+
+RUNS = st.lists(st.tuples(st.integers(0, 4), st.integers(1, 70)), max_size=5)
+
+
+@given(RUNS, RUNS, RUNS, RUNS, RUNS)
+@settings(max_examples=150, deadline=None)
+def test_equal_windows_with_runs_are_found(shared, a, b, c, d):
+    """Texts that are runs of few shingles: each window that a text before has is found."""
+    texts = [[x for x, n in runs for _ in range(n)] for runs in ([*a, *shared, *b], [*c, *shared, *d])]
+    covered, _ = spans_of_shingles(texts)
+    before = {tuple(texts[0][k : k + 46]) for k in range(len(texts[0]) - 45)}
+    for k in range(len(texts[1]) - 45):
+        if tuple(texts[1][k : k + 46]) in before:
+            assert covered[1] >= set(range(k, k + 46)), (k, texts)
+    assert not covered[0] and all(0 <= x < len(texts[1]) for x in covered[1])
+
+
+@pytest.mark.parametrize("n", [20, 46, 99, 1000])
+def test_a_run_has_two_rows_of_a_key(n):
+    """However long a run of one shingle is, a text has two rows of each key for it, and not one for each of its places."""
+    rng = np.random.default_rng(n)
+    run = np.full(n, 7)
+    texts = [np.concatenate([rng.integers(10, 1 << 60, 60), run, rng.integers(10, 1 << 60, 60)]).tolist() for _ in range(3)]
+    covered, counts = spans_of_shingles(texts)
+    assert max(counts.values()) <= 2
+    for i in (1, 2):  # near windows reach a few places beyond the run
+        assert covered[i] >= set(range(60, 60 + n)) and covered[i] <= set(range(54, 66 + n)) if n >= 46 else not covered[i]
+
+
 def shingled(words):
     return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
 
