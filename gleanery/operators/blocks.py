@@ -2,7 +2,8 @@
 
 Rows are dealt into blocks by their id, and each two blocks of a group meet in a Python worker, which holds these two alone and
 compares a tile of their pairs at a time by numpy. A task's memory is bounded by the block, rows are moved once for each block of
-their group (a large group has one for MOST_ROWS rows), and no list of pairs is made but of those that are near.
+their group (a large group has one for MOST_ROWS rows), and no list of pairs is made but of those that are near. There are as many
+tasks as meetings of two full blocks, so the rows that a task sorts don't grow with the square of a group either.
 
 What is connected needs no list of them either: each block gives a star for each of its components, then each two blocks give
 stars of what connects these. Rows that are connected already aren't compared, so a group that is one component soon is one.
@@ -213,18 +214,20 @@ def _n_blocks(n: Column) -> Column:
     return F.greatest(few, F.ceil(n / MOST_ROWS)).cast("int")
 
 
-def _in_groups(rows: DataFrame) -> DataFrame:
-    """part, id and x of rows that may have a pair, with the number of blocks of their group and their own."""
+def _in_groups(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """part, id and x of rows that may have a pair, with the number of blocks of their group and their own; how many rows there are, and
+    how many at all meetings of their blocks."""
     rows = rows.where("part is not null and id is not null and x is not null")
-    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    joined = join_groups(rows, sizes, "part", "n", rows.count()).where("n is not null")
-    return joined.withColumn("blocks", _n_blocks(F.col("n"))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("n")
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    total, met = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * _n_blocks(F.col("n"))), F.lit(0))).first()
+    joined = join_groups(rows, sizes.where("n > 1"), "part", "n", total).where("n is not null")
+    return joined.withColumn("blocks", _n_blocks(F.col("n"))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("n"), total, met
 
 
-def _meeting(rows: DataFrame, others: Column) -> DataFrame:
-    """The rows at their meetings with the other blocks, in order."""
+def _meeting(rows: DataFrame, others: Column, n_rows: int) -> DataFrame:
+    """The rows at their meetings with the other blocks, in order. n_rows: how many that makes."""
     ship(rows.sparkSession)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // (2 * MOST_ROWS)))
     dealt = rows.withColumn("other", F.explode(others)).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
     return dealt.repartition(n, "part", "i", "j").sortWithinPartitions("part", "i", "j")
 
@@ -232,16 +235,17 @@ def _meeting(rows: DataFrame, others: Column) -> DataFrame:
 def pairs_near(rows: DataFrame, kind: type, most: float) -> DataFrame:
     """part, u < v and distance (not rounded) of the ids of a group that are near. rows: part, id (long) and x, a hash (long) or vector."""
     group = rows.schema["part"].dataType.simpleString()
-    met = _meeting(_in_groups(rows), F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows, _, n_met = _in_groups(rows)
+    met = _meeting(rows, F.sequence(F.lit(0), F.col("blocks") - 1), n_met)
     return met.mapInArrow(_pairs(kind, most), f"part {group}, u long, v long, distance double")
 
 
 def components_near(rows: DataFrame, kind: type, most: float, edges: DataFrame | None = None) -> DataFrame:
     """node and component, the least id that near pairs inside groups connect it with, of each id that has a pair. An id is of one
     group. rows: as in pairs_near. edges: u and v of further pairs."""
-    rows = _in_groups(rows)
+    rows, n_rows, n_met = _in_groups(rows)
     schema = "u long, v long"
-    own = durable(_meeting(rows.withColumn("node", F.col("id")), F.array("own")).mapInArrow(_stars(kind, most), schema))
+    own = durable(_meeting(rows.withColumn("node", F.col("id")), F.array("own"), n_rows).mapInArrow(_stars(kind, most), schema))
     named = own.select(F.col("u").alias("node"), F.col("v").alias("component"))
     several = rows.where("blocks > 1")
     if edges is None and several.isEmpty():
@@ -249,7 +253,7 @@ def components_near(rows: DataFrame, kind: type, most: float, edges: DataFrame |
     labels = own.select(F.col("u").alias("id"), F.col("v").alias("label"))
     labelled = several.join(labels, "id", "left").withColumn("node", F.coalesce("label", "id")).drop("label")
     apart = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own"))
-    links = _meeting(labelled, apart).mapInArrow(_stars(kind, most), schema)
+    links = _meeting(labelled, apart, n_met).mapInArrow(_stars(kind, most), schema)
     if edges is not None:
         at = lambda end: F.coalesce(f"label_{end}", end).alias(end)
         for end in ("u", "v"):

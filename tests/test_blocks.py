@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.operators import blocks, dedup
 from gleanery.operators.graph import connected_components
@@ -139,3 +140,21 @@ def test_few_edges_need_no_rounds(spark, edges):
     assert {r["node"]: r["component"] for r in got.collect()} == expected and len(rounds) == 1
     assert dict(got.dtypes) == {"node": "bigint", "component": "bigint"}
     assert {r["node"]: r["component"] for r in connected_components(df, kept, driver_edges=0).collect()} == expected
+
+
+def test_tasks_grow_with_the_meetings_of_blocks(spark, monkeypatch):
+    """A group of many blocks has as many tasks as full meetings, so that no task sorts a share of all of them."""
+    monkeypatch.setattr(blocks, "MOST_ROWS", 64)
+    monkeypatch.setattr(blocks, "LEAST_ROWS", 64)
+    hashes = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 1_000)
+    hashes[500:] = hashes[:500] ^ 5
+    rows = spark.createDataFrame([(0, i, h) for i, h in enumerate(hashes.tolist())], "part int, id long, x long")
+    found, n_rows, n_met = blocks._in_groups(rows)
+    assert (n_rows, n_met) == (1_000, 16_000)
+    met = blocks._meeting(found, F.sequence(F.lit(0), F.col("blocks") - 1), n_met)
+    assert met.rdd.getNumPartitions() >= 125
+    most = met.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 1_000  # 4 tasks have 4,000 rows or more
+    got = {(r["u"], r["v"], r["distance"]) for r in blocks.pairs_near(rows, blocks.Hashes, 10).collect()}
+    apart = np.bitwise_count(hashes.view(np.uint64)[:, None] ^ hashes.view(np.uint64))
+    assert got == {(i, j, int(apart[i, j])) for i, j in zip(*(x.tolist() for x in np.nonzero(apart <= 10)), strict=True) if i < j} and len(got) >= 500
